@@ -29,6 +29,11 @@ def to_int(x: str) -> str:
     return f"coalesce(CAST(trunc({num(x)}) AS BIGINT), 0)"
 
 
+def mean(x: str) -> str:
+    """Mean of seconds, summed in whole microseconds (exact in any order)."""
+    return f"(sum(round({x} * 1e6)) / count({x}) / 1e6)"
+
+
 def calendar(ts: str) -> str:
     return f"""CAST({ts} AS DATE) AS date, CAST(hour({ts}) AS INTEGER) AS hour,
       CAST(isodow({ts}) - 1 AS INTEGER) AS day_of_week, dayname({ts}) AS weekday_name,
@@ -45,6 +50,10 @@ def over(*keys: str) -> str:
     return f"OVER (PARTITION BY {', '.join(keys)})"
 
 
+def mean_over(x: str, *keys: str) -> str:
+    return f"(sum(round({x} * 1e6)) {over(*keys)} / count({x}) {over(*keys)} / 1e6)"
+
+
 P_PASS = ", ".join(c for c in S.PRODUCT_RAW if c not in (
     "start_time", "end_time", "expiration", "duration_sec", "quantity_pcs",
     "purchase_order", "order_line"))
@@ -164,13 +173,13 @@ CTES = {
     SELECT * EXCLUDE (previous),
       {when_keys('count(dialog_type) ' + over('employee_id', 'date'), 'employee_id', 'date')}
         AS employee_daily_actions,
-      {r(when_keys('avg(response_time_sec) ' + over('employee_id', 'date'), 'employee_id', 'date'))}
+      {r(when_keys(mean_over('response_time_sec', 'employee_id', 'date'), 'employee_id', 'date'))}
         AS employee_daily_avg_response_sec,
-      {r(when_keys('coalesce(sum(response_time_sec) ' + over('employee_id', 'date') + ', 0)', 'employee_id', 'date'))}
+      {r(when_keys('coalesce(sum(round(response_time_sec * 1e6)) ' + over('employee_id', 'date') + ', 0) / 1e6', 'employee_id', 'date'))}
         AS employee_daily_total_response_sec,
       {when_keys('count(dialog_type) ' + over('employee_id', 'week_number'), 'employee_id', 'week_number')}
         AS employee_weekly_actions,
-      {r(when_keys('avg(response_time_sec) ' + over('employee_id', 'week_number'), 'employee_id', 'week_number'))}
+      {r(when_keys(mean_over('response_time_sec', 'employee_id', 'week_number'), 'employee_id', 'week_number'))}
         AS employee_weekly_avg_response_sec,
       {when_keys('count(*) ' + over('employee_id', 'hour'), 'employee_id', 'hour')}
         AS employee_hourly_action_count,
@@ -402,8 +411,8 @@ oracle("table_shapes", """
 
 _QTY = "CAST(coalesce(sum(quantity_pcs), 0) AS BIGINT)"
 _TOTALS = f"count(process) AS total_ops, {_QTY} AS total_qty"
-_AVG2 = r("avg(duration_sec_final)", 2) + " AS avg_duration"
-_AVG6 = r("avg(duration_sec_final)") + " AS avg_duration"
+_AVG2 = r(mean("duration_sec_final"), 2) + " AS avg_duration"
+_AVG6 = r(mean("duration_sec_final")) + " AS avg_duration"
 for _name, _key in (("daily_products", "date"), ("weekly_products", "week_number")):
     oracle(_name, f"""SELECT {_key}, {_TOTALS}, {_AVG2}, count(DISTINCT worker) AS unique_workers
         FROM p_scalar WHERE {_key} IS NOT NULL GROUP BY 1""")
@@ -423,7 +432,7 @@ oracle("product_comparison", f"""
 for _name, _key in (("daily_employees", "date"), ("weekly_employees", "week_number")):
     oracle(_name, f"""
         SELECT employee_name, {_key}, count(dialog_type) AS total_actions,
-          {r('avg(response_time_sec)', 2)} AS avg_response_sec
+          {r(mean('response_time_sec'), 2)} AS avg_response_sec
         FROM w_scalar WHERE {drop_null('employee_name', _key)} GROUP BY 1, 2""")
 oracle("kpi_overview", f"""
     SELECT count(*) AS operations, (SELECT count(*) FROM w_scalar) AS employee_actions, {_AVG6},
@@ -444,13 +453,13 @@ oracle("worker_detail_mix", """
 oracle("employee_scorecard", f"""
     SELECT *, {r('total_actions / nullif(active_days, 0)', 1)} AS actions_per_day FROM (
       SELECT employee_name, count(dialog_type) AS total_actions,
-        {r('avg(response_time_sec)')} AS avg_response_sec, count(DISTINCT date) AS active_days,
+        {r(mean('response_time_sec'))} AS avg_response_sec, count(DISTINCT date) AS active_days,
         count(DISTINCT session_id) AS total_sessions
       FROM w WHERE employee_name IS NOT NULL GROUP BY 1)""")
 
 for _grain, _key in (("daily", "date"), ("weekly", "week_number")):
     for _metric, _expr in (("count", "count(process)"), ("qty", _QTY),
-                           ("duration", r("avg(duration_sec_final)"))):
+                           ("duration", r(mean("duration_sec_final")))):
         for _split, _keys in (("split", (_key, "product_label")), ("total", (_key,))):
             oracle(f"trend_{_grain}_{_metric}_{_split}", f"""
                 SELECT {', '.join(_keys)}, {_expr} AS value FROM p_scalar
@@ -458,7 +467,7 @@ for _grain, _key in (("daily", "date"), ("weekly", "week_number")):
 for _metric in S.RANK_METRICS:
     oracle(f"rank_workers_{_metric}", f"""
         SELECT * REPLACE ({r('avg_duration')} AS avg_duration) FROM (
-          {_productivity('avg(duration_sec_final) AS avg_duration')})
+          {_productivity(mean('duration_sec_final') + ' AS avg_duration')})
         ORDER BY {_metric} DESC NULLS LAST, total_ops DESC, worker LIMIT 20""")
 oracle("top15_workers", f"""
     SELECT worker, {_TOTALS} FROM p_scalar WHERE worker IS NOT NULL
@@ -585,12 +594,13 @@ oracle("box_outlier_points", """
 
 
 def _corr(table: str, columns, digits: int = 6) -> str:
-    cells = ", ".join(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS "{a}|{b}"'
-                      for a in columns for b in columns)
+    pairs = [(a, b) for a in columns for b in columns]
+    cells = ", ".join(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS "{a}|{b}"' for a, b in pairs)
+    names = ", ".join(f'"{a}|{b}"' for a, b in pairs)
     value = r("CASE WHEN isnan(x) THEN NULL ELSE x END", digits)
     return f"""
     SELECT split_part(pair, '|', 1) AS feature_a, split_part(pair, '|', 2) AS feature_b, {value} AS r
-    FROM (UNPIVOT INCLUDE NULLS (SELECT {cells} FROM {table}) ON COLUMNS(*) INTO NAME pair VALUE x)"""
+    FROM (SELECT {cells} FROM {table}) UNPIVOT INCLUDE NULLS (x FOR pair IN ({names}))"""
 
 
 oracle("corr_products", _corr("p", S.PRODUCT_CORRELATION))
@@ -619,8 +629,8 @@ def _stats(x):
             f"quantile_cont({x}, 0.75) AS q3")
 
 
-_DAILY = """SELECT date, count(*) AS row_ops, count(process) AS ops,
-    CAST(sum(quantity_pcs) AS BIGINT) AS qty, avg(duration_sec_final) AS avg_dur
+_DAILY = f"""SELECT date, count(*) AS row_ops, count(process) AS ops,
+    CAST(sum(quantity_pcs) AS BIGINT) AS qty, {mean('duration_sec_final')} AS avg_dur
     FROM p_scalar WHERE date IS NOT NULL GROUP BY 1"""
 _EMP = """SELECT employee_name, date, count(*) AS actions FROM w_scalar
     WHERE employee_name IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2"""

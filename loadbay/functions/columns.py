@@ -54,6 +54,24 @@ def total(c: str | Column) -> Column:
     return F.coalesce(F.sum(col(c)), F.lit(0))
 
 
+def _micros(c: str | Column) -> Column:
+    return F.rint(col(c) * F.lit(1e6))
+
+
+def sum_seconds(c: str | Column) -> Column:
+    """Sum of a seconds column, 0 if empty.
+
+    Added up in whole microseconds, which a double holds exactly up to 9e9 seconds,
+    so the result does not depend on how rows are spread over tasks.
+    """
+    return F.coalesce(F.sum(_micros(c)), F.lit(0.0)) / F.lit(1e6)
+
+
+def mean_seconds(c: str | Column) -> Column:
+    """Mean of a seconds column, NULL if empty; order-independent like the sum."""
+    return ratio(F.sum(_micros(c)), F.count(col(c))) / F.lit(1e6)
+
+
 def calendar(ts: str | Column) -> dict[str, Column]:
     """The seven calendar features of a timestamp, in table order."""
     ts = col(ts)

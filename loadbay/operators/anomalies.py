@@ -52,7 +52,7 @@ def anomalous_days(products: DataFrame) -> DataFrame:
 def daily_operations(products: DataFrame) -> DataFrame:
     return keyed(products, "date").agg(
         F.count("process").alias("ops"), C.total("quantity_pcs").alias("qty"),
-        F.avg("duration_sec_final").alias("avg_dur"))
+        C.mean_seconds("duration_sec_final").alias("avg_dur"))
 
 
 def anomalous_operation_days(products: DataFrame, method: str = "Combined",

@@ -104,10 +104,17 @@ def replace_by_map(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
 
 # --- names inside free text ---------------------------------------------------
 
-def _fold(text, people: DataFrame):
+def _fold(df: DataFrame, columns: Sequence[str], people: DataFrame) -> DataFrame:
     """All replacements one after another, in map order, in one expression."""
     pairs = people.agg(F.sort_array(F.collect_list(F.struct("position", "real", "fake")))).scalar()
-    return F.aggregate(pairs, text, lambda acc, m: F.replace(acc, m["real"], m["fake"]))
+
+    def scrubbed(c):
+        text = F.aggregate("__pairs", F.col(c),
+                           lambda acc, m: F.replace(acc, m["real"], m["fake"]))
+        return F.nullif(text, F.lit(""))
+
+    return (df.withColumn("__pairs", pairs)
+              .withColumns({c: scrubbed(c) for c in columns}).drop("__pairs"))
 
 
 def _rewrite(texts: DataFrame, people: DataFrame) -> DataFrame:
@@ -151,7 +158,7 @@ def scrub_text(df: DataFrame, mapping: DataFrame,
     if few == 0:
         return df
     if few <= fold_limit:
-        return df.withColumns({c: F.nullif(_fold(F.col(c), people), F.lit("")) for c in columns})
+        return _fold(df, columns, people)
     order = df.columns
     texts = None
     for c in columns:

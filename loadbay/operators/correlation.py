@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,24 +13,54 @@ from loadbay.functions import columns as C
 def correlation(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
     """(feature_a, feature_b, r) for every ordered pair.
 
-    Rows missing either value are left out of that pair only. A constant column
-    has no correlation (NULL). Each unordered pair is one aggregate of a single
-    pass over the table; the other half of the matrix mirrors it.
+    Rows missing either value are left out of that pair only. A column that is
+    constant over a pair's rows has no correlation (NULL).
+
+    Rows are grouped by which columns are missing. Within such a group every pair
+    has the same rows, so plain sums of values and products serve all pairs at once,
+    and groups are added up per pair at the end. Values are centred on the column
+    mean first, so that products keep their precision.
     """
     present = [c for c in columns if c in df.columns]
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in present])
-    pairs = list(combinations_with_replacement(range(len(present)), 2))
+    index = range(len(present))
+    values = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(present)])
+    means = values.agg(F.struct(*[F.avg(f"x{i}").alias(f"x{i}") for i in index])).scalar()
+    missing = sum((F.col(f"x{i}").isNull().cast("bigint") * (1 << i) for i in index), F.lit(0))
+    centred = values.withColumn("m", means).select(
+        missing.alias("missing"),
+        *[F.coalesce(F.col(f"x{i}") - F.col(f"m.x{i}"), F.lit(0.0)).alias(f"d{i}") for i in index])
+    sums = centred.groupBy("missing").agg(
+        F.count("*").alias("n"),
+        *[F.sum(f"d{i}").alias(f"s{i}") for i in index],
+        *[f(f"d{i}").alias(f"{tag}{i}") for i in index for tag, f in (("lo", F.min), ("hi", F.max))],
+        *[F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p{i}_{j}") for i in index for j in index if i <= j])
+    entries = F.array(*[
+        F.struct(F.lit(i).alias("a"), F.lit(j).alias("b"),
+                 F.lit((1 << i) | (1 << j)).cast("bigint").alias("bits"),
+                 F.col(f"s{i}").alias("sa"), F.col(f"s{j}").alias("sb"),
+                 F.col(f"p{i}_{i}").alias("aa"), F.col(f"p{j}_{j}").alias("bb"),
+                 F.col(f"p{min(i, j)}_{max(i, j)}").alias("ab"),
+                 F.col(f"lo{i}").alias("la"), F.col(f"hi{i}").alias("ha"),
+                 F.col(f"lo{j}").alias("lb"), F.col(f"hi{j}").alias("hb"))
+        for i in index for j in index])
+    both = F.col("missing").bitwiseAND(F.col("e.bits")) == 0
+    part = sums.select("missing", "n", F.explode(entries).alias("e"))
 
-    def r(i: int, j: int):
-        a, b = F.col(present[i]), F.col(present[j])
-        x = F.when(b.isNotNull(), a)
-        y = F.when(a.isNotNull(), b)
-        return C.ratio(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+    def add(name):
+        return F.sum(F.when(both, F.col(name)))
 
-    row = values.agg(*[r(i, j).alias(f"r_{i}_{j}") for i, j in pairs])
-    entries = F.array(*[
-        F.struct(F.lit(present[i]).alias("feature_a"), F.lit(present[j]).alias("feature_b"),
-                 F.col(f"r_{min(i, j)}_{max(i, j)}").alias("r"))
-        for i in range(len(present)) for j in range(len(present))])
-    long = row.select(F.explode(entries).alias("e")).select("e.*")
-    return long if digits is None else long.withColumn("r", C.round_half_even("r", digits))
+    def edge(f, name):
+        return f(F.when(both, F.col(name)))
+
+    n = add("n")
+    cov = add("e.ab") - add("e.sa") * add("e.sb") / n
+    var_a = add("e.aa") - add("e.sa") * add("e.sa") / n
+    var_b = add("e.bb") - add("e.sb") * add("e.sb") / n
+    varies = ((edge(F.max, "e.ha") > edge(F.min, "e.la"))
+              & (edge(F.max, "e.hb") > edge(F.min, "e.lb")))
+    names = F.array(*[F.lit(c) for c in present])
+    pairs = part.groupBy("e.a", "e.b").agg(
+        F.when(varies, C.ratio(cov, F.sqrt(var_a) * F.sqrt(var_b))).alias("r"))
+    out = pairs.select(F.element_at(names, F.col("a") + 1).alias("feature_a"),
+                       F.element_at(names, F.col("b") + 1).alias("feature_b"), "r")
+    return out if digits is None else out.withColumn("r", C.round_half_even("r", digits))

@@ -94,8 +94,7 @@ def worker_day_features(df: DataFrame) -> DataFrame:
               .groupBy("worker", "date")
               .agg(F.count("process").alias("worker_daily_ops"),
                    C.total("quantity_pcs").alias("worker_daily_qty"),
-                   F.coalesce(F.sum("duration_sec_final"), F.lit(0.0))
-                    .alias("worker_daily_duration_sec")))
+                   C.sum_seconds("duration_sec_final").alias("worker_daily_duration_sec")))
 
 
 def with_worker_day_features(df: DataFrame) -> DataFrame:
@@ -125,25 +124,26 @@ def activity_grid(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
               .agg(F.count("*").alias("rows"),
                    F.count("dialog_type").alias("dialogs"),
                    F.count("response_time_sec").alias("responses"),
-                   F.sum("response_time_sec").alias("response_sum"),
+                   C.sum_seconds("response_time_sec").alias("response_sum"),
                    F.min("input_date").alias("first_input"),
                    F.max("input_date").alias("last_input")))
 
 
+def _grid_mean():
+    return C.ratio(C.sum_seconds("response_sum") * 1e6, F.sum("responses")) / F.lit(1e6)
+
+
 def employee_day_features(grid: DataFrame) -> DataFrame:
     return (grid.groupBy("employee_id", "date")
                 .agg(F.sum("dialogs").alias("employee_daily_actions"),
-                     C.ratio(F.sum("response_sum"), F.sum("responses"))
-                      .alias("employee_daily_avg_response_sec"),
-                     F.coalesce(F.sum("response_sum"), F.lit(0.0))
-                      .alias("employee_daily_total_response_sec")))
+                     _grid_mean().alias("employee_daily_avg_response_sec"),
+                     C.sum_seconds("response_sum").alias("employee_daily_total_response_sec")))
 
 
 def employee_week_features(grid: DataFrame) -> DataFrame:
     return (grid.groupBy("employee_id", "week_number")
                 .agg(F.sum("dialogs").alias("employee_weekly_actions"),
-                     C.ratio(F.sum("response_sum"), F.sum("responses"))
-                      .alias("employee_weekly_avg_response_sec")))
+                     _grid_mean().alias("employee_weekly_avg_response_sec")))
 
 
 def employee_hour_features(grid: DataFrame) -> DataFrame:

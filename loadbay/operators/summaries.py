@@ -57,7 +57,7 @@ def table_shapes(products: DataFrame, workers: DataFrame) -> DataFrame:
 # --- grouped summaries --------------------------------------------------------
 
 def _operation_totals(digits: int | None = 2) -> list[Column]:
-    mean = F.avg("duration_sec_final")
+    mean = C.mean_seconds("duration_sec_final")
     return [F.count("process").alias("total_ops"),
             C.total("quantity_pcs").alias("total_qty"),
             (mean if digits is None else C.round_half_even(mean, digits)).alias("avg_duration")]
@@ -88,7 +88,7 @@ def employee_period(df: DataFrame, period: str) -> DataFrame:
     """Actions and mean response per employee and date or week."""
     return keyed(df, "employee_name", period).agg(
         F.count("dialog_type").alias("total_actions"),
-        C.round_half_even(F.avg("response_time_sec"), 2).alias("avg_response_sec"))
+        C.round_half_even(C.mean_seconds("response_time_sec"), 2).alias("avg_response_sec"))
 
 
 def kpi_overview(products: DataFrame, workers: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def kpi_overview(products: DataFrame, workers: DataFrame) -> DataFrame:
     w = workers.agg(F.struct(F.count("*").alias("employee_actions"),
                              F.count_distinct("employee_name").alias("active_employees")))
     return (products.agg(F.count("*").alias("operations"),
-                         F.avg("duration_sec_final").alias("avg_duration"),
+                         C.mean_seconds("duration_sec_final").alias("avg_duration"),
                          C.total("quantity_pcs").alias("total_quantity"),
                          F.count_distinct("worker").alias("active_workers"))
                     .withColumn("w", w.scalar())
@@ -107,7 +107,7 @@ def kpi_overview(products: DataFrame, workers: DataFrame) -> DataFrame:
 def product_kpis(df: DataFrame) -> DataFrame:
     return keyed(df, "product_label").agg(
         F.count("*").alias("operations"), C.total("quantity_pcs").alias("quantity"),
-        F.avg("duration_sec_final").alias("avg_duration"),
+        C.mean_seconds("duration_sec_final").alias("avg_duration"),
         F.count_distinct("worker").alias("workers"))
 
 
@@ -119,7 +119,7 @@ def worker_detail_kpis(df: DataFrame, worker: str | None = None) -> DataFrame:
     """Drill-down numbers for one worker, or for every worker at once."""
     return keyed(_one_worker(df, worker), "worker").agg(
         F.count("*").alias("total_ops"), C.total("quantity_pcs").alias("total_qty"),
-        F.avg("duration_sec_final").alias("avg_duration"),
+        C.mean_seconds("duration_sec_final").alias("avg_duration"),
         F.count_distinct("date").alias("active_days"))
 
 
@@ -135,7 +135,7 @@ def employee_scorecard(df: DataFrame) -> DataFrame:
     """Per employee name; sessions are counted as distinct ids under that name."""
     out = keyed(df, "employee_name").agg(
         F.count("dialog_type").alias("total_actions"),
-        F.avg("response_time_sec").alias("avg_response_sec"),
+        C.mean_seconds("response_time_sec").alias("avg_response_sec"),
         F.count_distinct("date").alias("active_days"),
         F.count_distinct("session_id").alias("total_sessions"))
     return out.withColumn(
@@ -148,7 +148,7 @@ TREND_PERIODS = {"daily": "date", "weekly": "week_number"}
 TREND_METRICS = {
     "count": lambda: F.count("process"),
     "qty": lambda: C.total("quantity_pcs"),
-    "duration": lambda: F.avg("duration_sec_final"),
+    "duration": lambda: C.mean_seconds("duration_sec_final"),
 }
 
 
