@@ -22,7 +22,7 @@ from loadbay.operators import clean, correlation, datasets, distribution, featur
 from loadbay.operators import filters as FL
 from loadbay.operators import sessions, summaries
 from loadbay.plans import anonymise, explore, prepare
-from loadbay.session import shared_dir, stage
+from loadbay.session import materialized, shared_dir, stage
 from loadbay.sources import prepared, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -360,24 +360,25 @@ def _(spark, sf):
 @query("session_gaps")
 def _(spark, sf):
     """Slot-level gaps: the places where a session can begin."""
-    grid = features.activity_grid(features.worker_scalars(clean_w(spark, sf)))
-    return sessions.gap_flags(grid).select(
+    grid = sessions.activity_grid(features.worker_scalars(clean_w(spark, sf)))
+    return sessions.gap_flags(grid.where("dated")).select(
         "employee_id", "first_input", "previous_input", "gap_sec", "new_session")
 
 
 @query("sessionize")
 def _(spark, sf):
-    return _activity(spark, sf).select("employee_id", "input_date", "prompt_date", "session_id")
+    df = features.worker_scalars(clean_w(spark, sf))
+    return sessions.sessionize(df).select("employee_id", "input_date", "prompt_date", "session_id")
 
 
 @query("prepare_products")
 def _(spark, sf):
-    return prepare.prepare_products(raw_p(spark, sf))
+    return prepare.prepare_products(raw_p(spark, sf), staged=materialized)
 
 
 @query("prepare_workers")
 def _(spark, sf):
-    return rounded(prepare.prepare_workers(raw_w(spark, sf)), *RESPONSE_FLOATS)
+    return rounded(prepare.prepare_workers(raw_w(spark, sf), staged=materialized), *RESPONSE_FLOATS)
 
 
 # --- filters ------------------------------------------------------------------

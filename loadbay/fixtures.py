@@ -11,16 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadbay import schemas as S
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fact table; one that is a single file (one row group, hence one task for all
+    the text building below) is spread over the cores first."""
+    df = _table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) == 1 else df
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined with part and supplier, as a product-movement log."""
-    joined = (_table(spark, sf_dir, "lineitem")
+    joined = (_facts(spark, sf_dir, "lineitem")
               .join(_table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
               .join(_table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey")))
     timed = joined.selectExpr(
@@ -29,8 +36,9 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         " + IF(l_partkey % 401 = 0, 7200, 0) AS true_dur",
         "timestampadd(SECOND, CAST((l_orderkey * 7919 + l_linenumber * 104729) % 86400 AS INT),"
         " l_shipdate) AS begun",
-        "p_type < 'M' AS first_file")
-    rows = timed.selectExpr(
+        "p_type < 'M' AS first_file",
+        "explode(sequence(1, IF(l_orderkey % 97 = 0, 2, 1))) AS copy")
+    return timed.selectExpr(
         "concat('W', l_suppkey % 5) AS warehouse",
         "concat('P-', l_partkey % 1000) AS source_position",
         "IF(l_returnflag = 'N', NULL, concat('T-', l_suppkey % 50)) AS target_position",
@@ -63,13 +71,13 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(first_file AND l_linenumber = 1, concat('M', l_suppkey), NULL) AS target_mlp",
         "p_brand AS product_label",
         "IF(first_file, 'moves_a.csv', 'moves_b.csv') AS source_file")
-    return rows.unionAll(rows.where("CAST(sales_order AS BIGINT) % 97 = 0"))
 
 
 def raw_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a handheld input log."""
-    rows = _table(spark, sf_dir, "events").selectExpr(
-        "event_id",
+    events = _facts(spark, sf_dir, "events").selectExpr(
+        "*", "explode(sequence(1, IF(event_id % 83 = 0, 2, 1))) AS copy")
+    return events.selectExpr(
         "concat('W', user_id % 3) AS warehouse",
         "concat('E', lpad(CAST(user_id AS STRING), 6, '0')) AS employee_id",
         "concat('Employee#', lpad(CAST(user_id AS STRING), 6, '0')) AS employee_name",
@@ -92,4 +100,3 @@ def raw_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(event_id % 5 = 0, concat('{\"user\": \"Employee#', lpad(CAST(user_id AS STRING), 6, '0'), '\"}'),"
         " props) AS json_text",
         "IF(user_id % 2 = 0, 'inputs_1.csv', 'inputs_2.csv') AS source_file")
-    return rows.unionAll(rows.where("event_id % 83 = 0")).select(*S.WORKER_RAW)

@@ -1,6 +1,6 @@
 """Row-level and group features of cleaned logs.
 
-Group features never use a window over the detail rows. Each is an aggregate on a
+Group features never use a window over detail rows (only over small grids). Each is an aggregate on a
 narrow projection (partial aggregation absorbs hot keys) that is joined back with
 a left equi-join, so rows with a NULL key keep a NULL feature. AQE broadcasts the
 aggregate when its measured size allows it and otherwise sort-merge joins,
@@ -14,7 +14,7 @@ the input log three for its eight.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadbay import schemas as S
@@ -74,19 +74,18 @@ def product_day_grid(df: DataFrame) -> DataFrame:
                    C.total("quantity_pcs").alias("qty")))
 
 
-def product_week_features(grid: DataFrame) -> DataFrame:
-    """(product_label, week_number) totals; week numbers of all years are pooled."""
-    return (grid.groupBy("product_label", "week_number")
-                .agg(F.sum("process_rows").alias("weekly_product_ops"),
-                     F.sum("qty").alias("weekly_product_qty")))
+def product_day_features(df: DataFrame) -> DataFrame:
+    """The grid with (product_label, week_number) totals beside each day. Week numbers
+    of all years are pooled; the window covers grid rows only, seven per year."""
+    week = Window.partitionBy("product_label", "week_number")
+    return product_day_grid(df).select(
+        "product_label", "date", "daily_product_ops_count",
+        F.sum("process_rows").over(week).alias("weekly_product_ops"),
+        F.sum("qty").over(week).alias("weekly_product_qty"))
 
 
 def with_product_features(df: DataFrame) -> DataFrame:
-    grid = product_day_grid(df)
-    features = (grid.select("product_label", "date", "week_number", "daily_product_ops_count")
-                    .join(product_week_features(grid), ["product_label", "week_number"], "left")
-                    .drop("week_number"))
-    return attach(df, features, ["product_label", "date"])
+    return attach(df, product_day_features(df), ["product_label", "date"])
 
 
 def worker_day_features(df: DataFrame) -> DataFrame:
@@ -103,90 +102,81 @@ def with_worker_day_features(df: DataFrame) -> DataFrame:
 
 def product_features(df: DataFrame) -> DataFrame:
     """All 17 derived columns of the product log, in table order."""
-    return (df.transform(product_scalars)
-              .transform(with_product_features)
-              .transform(with_worker_day_features)
-              .select(*S.PREPARED_PRODUCTS.names))
+    base = product_scalars(df)
+    per_product, per_worker = product_day_features(base), worker_day_features(base)
+    return (base.transform(attach, per_product, ["product_label", "date"])
+                .transform(attach, per_worker, ["worker", "date"])
+                .select(*S.PREPARED_PRODUCTS.names))
 
 
 # --- input log -----------------------------------------------------------------
 
-def activity_grid(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
-    """One row per employee, date, hour and gap-wide time slot.
+def employee_value_count(df: DataFrame, column: str, name: str) -> DataFrame:
+    return (df.where(C.all_present("employee_id", column))
+              .groupBy("employee_id", column).agg(F.count("*").alias(name)))
 
-    Daily, weekly and hourly totals and the session ids are all derived from this
-    grid, so the detail rows are aggregated once.
-    """
-    slot = sessions.time_slot("input_date", gap_sec)
-    return (df.where(C.all_present("employee_id", "input_date"))
-              .withColumn("slot", slot)
-              .groupBy("employee_id", "date", "week_number", "hour", "slot")
-              .agg(F.count("*").alias("rows"),
-                   F.count("dialog_type").alias("dialogs"),
-                   F.count("response_time_sec").alias("responses"),
-                   C.sum_seconds("response_time_sec").alias("response_sum"),
-                   F.min("input_date").alias("first_input"),
-                   F.max("input_date").alias("last_input")))
 
+def dialog_counts(df: DataFrame) -> DataFrame:
+    return employee_value_count(df, "dialog_type", "employee_dialog_type_count")
 
-def _grid_mean():
-    return C.ratio(C.sum_seconds("response_sum") * 1e6, F.sum("responses")) / F.lit(1e6)
 
+def device_counts(df: DataFrame) -> DataFrame:
+    return employee_value_count(df, "device", "employee_device_usage_count")
 
-def employee_day_features(grid: DataFrame) -> DataFrame:
-    return (grid.groupBy("employee_id", "date")
-                .agg(F.sum("dialogs").alias("employee_daily_actions"),
-                     _grid_mean().alias("employee_daily_avg_response_sec"),
-                     C.sum_seconds("response_sum").alias("employee_daily_total_response_sec")))
 
+def with_employee_dialog_count(df: DataFrame) -> DataFrame:
+    return attach(df, dialog_counts(df), ["employee_id", "dialog_type"])
 
-def employee_week_features(grid: DataFrame) -> DataFrame:
-    return (grid.groupBy("employee_id", "week_number")
-                .agg(F.sum("dialogs").alias("employee_weekly_actions"),
-                     _grid_mean().alias("employee_weekly_avg_response_sec")))
 
+def with_employee_device_count(df: DataFrame) -> DataFrame:
+    return attach(df, device_counts(df), ["employee_id", "device"])
 
-def employee_hour_features(grid: DataFrame) -> DataFrame:
-    """(employee, hour of day) rows, over all dates."""
-    return (grid.groupBy("employee_id", "hour")
-                .agg(F.sum("rows").alias("employee_hourly_action_count")))
 
+def activity_features(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
+    """Daily, weekly and hourly employee totals and session numbers per grid row.
 
-def employee_value_count(df: DataFrame, column: str, name: str) -> DataFrame:
-    return (df.where(C.all_present("employee_id", column))
-              .groupBy("employee_id", column).agg(F.count("*").alias(name)))
-
+    The grid is partitioned by employee once, for the session numbers; the other
+    windows use the same partitioning. An employee has at most 86400 / gap grid rows
+    per day however many inputs they made.
+    """
+    grid = sessions.number_grid(sessions.activity_grid(df, gap_sec), gap_sec)
 
-def with_employee_dialog_count(df: DataFrame) -> DataFrame:
-    counts = employee_value_count(df, "dialog_type", "employee_dialog_type_count")
-    return attach(df, counts, ["employee_id", "dialog_type"])
+    def over(*keys):
+        return Window.partitionBy("employee_id", *keys)
 
+    def mean_over(window):
+        total = F.sum(F.rint(F.col("response_sum") * 1e6)).over(window)
+        return C.ratio(total, F.sum("responses").over(window)) / F.lit(1e6)
 
-def with_employee_device_count(df: DataFrame) -> DataFrame:
-    counts = employee_value_count(df, "device", "employee_device_usage_count")
-    return attach(df, counts, ["employee_id", "device"])
+    dated = F.col("dated")
+    day, week, hour = over("date"), over("week_number"), over("hour")
+    return grid.select(
+        *sessions.GRID_KEY,
+        F.when(dated, F.sum("dialogs").over(day)).alias("employee_daily_actions"),
+        F.when(dated, mean_over(day)).alias("employee_daily_avg_response_sec"),
+        F.when(dated, F.sum(F.rint(F.col("response_sum") * 1e6)).over(day) / F.lit(1e6))
+         .alias("employee_daily_total_response_sec"),
+        F.when(dated, F.sum("dialogs").over(week)).alias("employee_weekly_actions"),
+        F.when(dated, mean_over(week)).alias("employee_weekly_avg_response_sec"),
+        F.when(dated, F.sum("rows").over(hour)).alias("employee_hourly_action_count"),
+        "session_base")
 
 
 def with_activity_features(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
-    """Daily, weekly and hourly employee totals plus ``session_id``."""
-    grid = activity_grid(df, gap_sec)
-    numbered = sessions.number_grid(grid, gap_sec)
-    features = (numbered.select(*sessions.GRID_KEY, "week_number", "session_id")
-                .join(employee_day_features(grid), ["employee_id", "date"], "left")
-                .join(employee_week_features(grid), ["employee_id", "week_number"], "left")
-                .join(employee_hour_features(grid), ["employee_id", "hour"], "left")
-                .drop("week_number"))
-    dated = (df.where(F.col("input_date").isNotNull())
-               .withColumn("slot", sessions.time_slot("input_date", gap_sec)))
-    dated = attach(dated, features, list(sessions.GRID_KEY)).drop("slot")
-    undated = sessions.number_undated(df.where(F.col("input_date").isNull()), numbered)
-    return dated.unionByName(undated, allowMissingColumns=True)
+    """Attach ``activity_features``; ``session_id`` is the grid row's session, or for
+    rows without an input time the base number plus the row's place in its group."""
+    features = activity_features(df, gap_sec)
+    placed = sessions.placed(df, gap_sec)
+    return (attach(placed, features, list(sessions.GRID_KEY))
+            .withColumn("session_id", F.col("session_base") + F.col("place"))
+            .drop("session_base", *sessions.PLACEMENT))
 
 
 def worker_features(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
     """All 18 derived columns of the input log, in table order."""
-    return (df.transform(worker_scalars)
-              .transform(with_activity_features, gap_sec)
-              .transform(with_employee_dialog_count)
-              .transform(with_employee_device_count)
-              .select(*S.PREPARED_WORKERS.names))
+    base = worker_scalars(df)
+    per_dialog, per_device = dialog_counts(base), device_counts(base)
+    return (base.transform(with_activity_features, gap_sec)
+                .transform(attach, per_dialog, ["employee_id", "dialog_type"])
+                .transform(attach, per_device, ["employee_id", "device"])
+                .select(*S.PREPARED_WORKERS.names))

@@ -6,6 +6,11 @@ task, so rows are first collapsed into time slots exactly one gap wide. Two inpu
 in one slot are less than a gap apart; a session can therefore only begin at the
 first input of a slot, and all rows of a slot share one session id. Only the slots
 (at most 86400 / gap per employee and day) are ordered per employee.
+
+Rows without an input time come last and open a session each. They are ordered by
+prompt time and grouped by half-hour of the prompt and a hash shard, so that one
+employee's undated rows are numbered by many tasks: a group gets a base number from
+the running total of group sizes, a row its place inside the group.
 """
 
 from __future__ import annotations
@@ -16,61 +21,94 @@ from pyspark.sql import functions as F
 from loadbay import schemas as S
 from loadbay.functions import columns as C
 
-GRID_KEY = ("employee_id", "date", "hour", "slot")
 UNDATED_SHARDS = 64
+NO_PROMPT = 2 ** 62
 
-_EPOCH = "1970-01-01"
+# What identifies a grid row; none of these is ever NULL but the employee.
+GRID_KEY = ("employee_id", "dated", "day_no", "hour_no", "slot", "shard")
+PLACEMENT = ("dated", "day_no", "hour_no", "slot", "shard", "place")
 
 
 def time_slot(ts: str | Column, gap_sec: int = S.SESSION_GAP_SEC) -> Column:
     """Index of the gap-wide interval a timestamp falls into."""
     if gap_sec <= 0:
         raise ValueError("gap_sec must be positive")
-    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), C.col(ts))
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, C.col(ts))
     return F.floor(micros / F.lit(gap_sec * 1_000_000)).cast("bigint")
 
 
+def _fingerprint(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def with_grid_key(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
+    """Add the grid key to rows that have calendar columns."""
+    dated = F.col("input_date").isNotNull()
+    undated_slot = F.coalesce(time_slot("prompt_date"), F.lit(NO_PROMPT))
+    return df.withColumns({
+        "dated": dated,
+        "day_no": F.coalesce(F.unix_date("date"), F.lit(0)),
+        "hour_no": F.coalesce("hour", F.lit(0)),
+        "slot": F.when(dated, time_slot("input_date", gap_sec)).otherwise(undated_slot),
+        "shard": F.when(dated, 0).otherwise(F.pmod(_fingerprint(df), F.lit(UNDATED_SHARDS))).cast("int"),
+    })
+
+
+def activity_grid(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
+    """One row per employee, date, hour and gap-wide slot (or undated group).
+
+    Daily, weekly and hourly totals and the session numbers all derive from it, so
+    the detail rows are aggregated once, on narrow columns.
+    """
+    return (with_grid_key(df.where(F.col("employee_id").isNotNull()), gap_sec)
+            .groupBy(*GRID_KEY, "date", "week_number", "hour")
+            .agg(F.count("*").alias("rows"),
+                 F.count("dialog_type").alias("dialogs"),
+                 F.count("response_time_sec").alias("responses"),
+                 C.sum_seconds("response_time_sec").alias("response_sum"),
+                 F.min("input_date").alias("first_input"),
+                 F.max("input_date").alias("last_input")))
+
+
+def _in_order() -> Window:
+    return Window.partitionBy("employee_id").orderBy(
+        F.asc_nulls_last("first_input"), "slot", "shard")
+
+
 def gap_flags(grid: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
     """Per grid row: the previous input, the gap in seconds, and the new-session flag."""
-    per_employee = Window.partitionBy("employee_id").orderBy("first_input")
-    return (grid.withColumn("previous_input", F.lag("last_input").over(per_employee))
+    return (grid.withColumn("previous_input", F.lag("last_input").over(_in_order()))
                 .withColumn("gap_sec", C.seconds_between("previous_input", "first_input"))
-                .withColumn("new_session",
-                            F.when(F.col("gap_sec") <= gap_sec, 0).otherwise(1)))
+                .withColumn("new_session", F.when(F.col("gap_sec") <= gap_sec, 0).otherwise(1)))
 
 
 def number_grid(grid: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
-    """Session ids 1, 2, ... per employee on grid rows."""
-    running = (Window.partitionBy("employee_id").orderBy("first_input")
-                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (gap_flags(grid, gap_sec)
-            .withColumn("session_id", F.sum("new_session").over(running).cast("bigint")))
+    """``session_base``: the session id of a dated grid row (1, 2, ... per employee);
+    for an undated group the number of sessions before it."""
+    opened = F.when(F.col("dated"), F.col("new_session")).otherwise(F.col("rows"))
+    running = _in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.sum(opened).over(running)
+    return gap_flags(grid, gap_sec).withColumn(
+        "session_base", F.when(F.col("dated"), upto).otherwise(upto - F.col("rows")).cast("bigint"))
 
 
-def number_undated(undated: DataFrame, numbered: DataFrame) -> DataFrame:
-    """Rows without an input time open a session each, after all dated sessions.
+def placed(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
+    """Rows with grid key and ``place``: 0 if dated, else 1, 2, ... in the group."""
+    keyed = with_grid_key(df, gap_sec)
+    group = Window.partitionBy(*GRID_KEY).orderBy("prompt_date", "fingerprint")
+    undated = (keyed.where(F.col("input_date").isNull())
+                    .withColumn("fingerprint", _fingerprint(df))
+                    .withColumn("place", F.row_number().over(group).cast("bigint"))
+                    .drop("fingerprint"))
+    dated = (keyed.where(F.col("input_date").isNotNull())
+                  .withColumn("place", F.lit(0).cast("bigint")))
+    return dated.unionByName(undated)
 
-    They are ordered by prompt time. One employee may own many of them, so they are
-    numbered inside (half-hour of the prompt, row-hash shard) groups, and an offset
-    per group is taken from the running sum of group sizes.
-    """
-    group = ["employee_id", "prompt_slot", "shard"]
-    fingerprint = F.xxhash64(*[F.col(f"`{c}`") for c in undated.columns])
-    rows = (undated.withColumn("fingerprint", fingerprint)
-                   .withColumn("prompt_slot",
-                               F.coalesce(time_slot("prompt_date"), F.lit(2 ** 62)))
-                   .withColumn("shard", F.pmod("fingerprint", F.lit(UNDATED_SHARDS))))
-    before = (Window.partitionBy("employee_id").orderBy("prompt_slot", "shard")
-                    .rowsBetween(Window.unboundedPreceding, -1))
-    last_dated = numbered.groupBy("employee_id").agg(F.max("session_id").alias("last_dated"))
-    offsets = (rows.where(F.col("employee_id").isNotNull())
-                   .groupBy(*group).agg(F.count("*").alias("size"))
-                   .withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
-                   .join(last_dated, "employee_id", "left")
-                   .select(*group, (F.col("offset") + F.coalesce("last_dated", F.lit(0)))
-                           .alias("offset")))
-    within = Window.partitionBy(*group).orderBy("prompt_date", "fingerprint")
-    return (rows.withColumn("position", F.row_number().over(within))
-                .join(offsets, group, "left")
-                .withColumn("session_id", F.col("offset") + F.col("position"))
-                .drop("fingerprint", "prompt_slot", "shard", "position", "offset"))
+
+def sessionize(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
+    """Add ``session_id`` to rows with calendar and response columns."""
+    bases = number_grid(activity_grid(df, gap_sec), gap_sec).select(*GRID_KEY, "session_base")
+    return (placed(df, gap_sec).join(bases, list(GRID_KEY), "left")
+            .withColumn("session_id", F.col("session_base") + F.col("place"))
+            .drop("session_base", *PLACEMENT))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zlib
 from collections.abc import Callable
 
@@ -16,6 +17,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # at run time, from measured sizes: broadcast up to this much ...
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # ... and hash instead of sorting the wide side where each build partition fits
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -30,6 +35,14 @@ def build_session(app: str = "loadbay", master: str | None = None,
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the run-time settings above to a session built elsewhere."""
+    for key, value in DEFAULTS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -54,6 +67,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def materialized(key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Write a table to a fresh path in the shared folder and read it back."""
+    df = build()
+    spark = df.sparkSession
+    path = os.path.join(shared_dir(spark), "loadbay", spark.sparkContext.applicationId,
+                        f"{key}_{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 _staged: dict[tuple, str] = {}
 
 
