@@ -663,6 +663,8 @@ for _key in Q.METHODS:
 _BANDS = (f"{r('mean')} AS mean, {r('sd')} AS sd, {r('mean + 2.5 * sd')} AS upper, "
           f"{r('CASE WHEN mean - 2.5 * sd < 0 THEN 0 ELSE mean - 2.5 * sd END')} AS lower")
 oracle("anomaly_bands", f"SELECT {_BANDS} FROM (SELECT {_stats('row_ops')} FROM ({_DAILY}))")
+oracle("anomaly_bands_operations", f"""
+    SELECT {_BANDS.replace('2.5', str(Q.METHODS['z'][1]))} FROM (SELECT {_stats('ops')} FROM ({_DAILY}))""")
 oracle("anomaly_bands_by_employee", f"SELECT employee_name, {_BANDS} FROM ({_EMP_STATS})")
 
 for _name, _table, _x, _short, _wide in (

@@ -702,6 +702,13 @@ def _(spark, sf):
     return rounded(A.employee_bands(W(spark, sf)), "mean", "sd", "upper", "lower")
 
 
+@query("anomaly_bands_operations")
+def _(spark, sf):
+    """Bands over operations with a process, at the chosen z."""
+    return rounded(A.bands(A.daily_operations(P(spark, sf)), "ops", z=METHODS["z"][1]),
+                   "mean", "sd", "upper", "lower")
+
+
 @query("duration_outlier_rates")
 def _(spark, sf):
     return A.outlier_rates(P(spark, sf), "duration_sec_final")

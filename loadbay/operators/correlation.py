@@ -22,45 +22,45 @@ def correlation(df: DataFrame, columns: Sequence[str], digits: int | None = None
     mean first, so that products keep their precision.
     """
     present = [c for c in columns if c in df.columns]
-    index = range(len(present))
+    m = len(present)
+    index = range(m)
     values = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(present)])
-    means = values.agg(F.struct(*[F.avg(f"x{i}").alias(f"x{i}") for i in index])).scalar()
-    missing = sum((F.col(f"x{i}").isNull().cast("bigint") * (1 << i) for i in index), F.lit(0))
-    centred = values.withColumn("m", means).select(
-        missing.alias("missing"),
-        *[F.coalesce(F.col(f"x{i}") - F.col(f"m.x{i}"), F.lit(0.0)).alias(f"d{i}") for i in index])
+    means = values.selectExpr(
+        "struct(" + ", ".join(f"avg(x{i}) AS x{i}" for i in index) + ")").scalar()
+    missing = " + ".join(f"IF(x{i} IS NULL, {1 << i}L, 0L)" for i in index)
+    centred = values.withColumn("m", means).selectExpr(
+        f"{missing} AS missing", *[f"coalesce(x{i} - m.x{i}, 0D) AS d{i}" for i in index])
+
+    def listed(expr, over):
+        return "array(" + ", ".join(expr.format(*x) for x in over) + ")"
+
+    one = [(i,) for i in index]
+    upper = [(i, j) for i in index for j in index if i <= j]
     sums = centred.groupBy("missing").agg(
         F.count("*").alias("n"),
-        *[F.sum(f"d{i}").alias(f"s{i}") for i in index],
-        *[f(f"d{i}").alias(f"{tag}{i}") for i in index for tag, f in (("lo", F.min), ("hi", F.max))],
-        *[F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p{i}_{j}") for i in index for j in index if i <= j])
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("a"), F.lit(j).alias("b"),
-                 F.lit((1 << i) | (1 << j)).cast("bigint").alias("bits"),
-                 F.col(f"s{i}").alias("sa"), F.col(f"s{j}").alias("sb"),
-                 F.col(f"p{i}_{i}").alias("aa"), F.col(f"p{j}_{j}").alias("bb"),
-                 F.col(f"p{min(i, j)}_{max(i, j)}").alias("ab"),
-                 F.col(f"lo{i}").alias("la"), F.col(f"hi{i}").alias("ha"),
-                 F.col(f"lo{j}").alias("lb"), F.col(f"hi{j}").alias("hb"))
-        for i in index for j in index])
-    both = F.col("missing").bitwiseAND(F.col("e.bits")) == 0
-    part = sums.select("missing", "n", F.explode(entries).alias("e"))
-
-    def add(name):
-        return F.sum(F.when(both, F.col(name)))
+        F.expr(listed("sum(d{0})", one)).alias("s"),
+        F.expr(listed("min(d{0})", one)).alias("lo"),
+        F.expr(listed("max(d{0})", one)).alias("hi"),
+        F.expr(listed("sum(d{0} * d{1})", upper)).alias("p"))
 
-    def edge(f, name):
-        return f(F.when(both, F.col(name)))
+    # one row per missing-pattern and ordered pair; p holds the upper triangle row by row
+    def at(i, j):
+        return f"p[{i} * {m} - {i} * ({i} - 1) DIV 2 + {j} - {i}]"
 
-    n = add("n")
-    cov = add("e.ab") - add("e.sa") * add("e.sb") / n
-    var_a = add("e.aa") - add("e.sa") * add("e.sa") / n
-    var_b = add("e.bb") - add("e.sb") * add("e.sb") / n
-    varies = ((edge(F.max, "e.ha") > edge(F.min, "e.la"))
-              & (edge(F.max, "e.hb") > edge(F.min, "e.lb")))
-    names = F.array(*[F.lit(c) for c in present])
-    pairs = part.groupBy("e.a", "e.b").agg(
-        F.when(varies, C.ratio(cov, F.sqrt(var_a) * F.sqrt(var_b))).alias("r"))
-    out = pairs.select(F.element_at(names, F.col("a") + 1).alias("feature_a"),
-                       F.element_at(names, F.col("b") + 1).alias("feature_b"), "r")
+    pairs = sums.selectExpr("*", f"explode(sequence(0, {m * m - 1})) AS k").selectExpr(
+        "*", f"k DIV {m} AS a", f"k % {m} AS b").selectExpr(
+        "a", "b", "n", "s[a] AS sa", "s[b] AS sb", f"{at('a', 'a')} AS aa", f"{at('b', 'b')} AS bb",
+        f"{at('least(a, b)', 'greatest(a, b)')} AS ab",
+        "lo[a] AS la", "hi[a] AS ha", "lo[b] AS lb", "hi[b] AS hb",
+        "(missing & (shiftleft(1L, CAST(a AS INT)) | shiftleft(1L, CAST(b AS INT)))) = 0 AS complete")
+    totals = pairs.where("complete").groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "aa", "bb", "ab")],
+        *[F.min(c).alias(c) for c in ("la", "lb")], *[F.max(c).alias(c) for c in ("ha", "hb")])
+    r = F.expr("""CASE WHEN ha > la AND hb > lb THEN
+        try_divide(ab - sa * sb / n, sqrt(aa - sa * sa / n) * sqrt(bb - sb * sb / n)) END""")
+    cells = df.sparkSession.createDataFrame(
+        [(i, j, present[i], present[j]) for i in index for j in index],
+        "a bigint, b bigint, feature_a string, feature_b string")
+    out = cells.join(totals.select("a", "b", r.alias("r")), ["a", "b"], "left")
+    out = out.select("feature_a", "feature_b", "r")
     return out if digits is None else out.withColumn("r", C.round_half_even("r", digits))

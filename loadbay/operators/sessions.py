@@ -38,6 +38,15 @@ def time_slot(ts: str | Column, gap_sec: int = S.SESSION_GAP_SEC) -> Column:
     return F.floor(micros / F.lit(gap_sec * 1_000_000)).cast("bigint")
 
 
+# Short columns that tell undated rows of one half-hour apart: the grid must not
+# read the long text columns only to spread these rows.
+SHARD_COLUMNS = ("prompt_date", "dialog_type", "device", "equipment", "dialog_field", "user_input")
+
+
+def _shard() -> Column:
+    return F.pmod(F.xxhash64(*SHARD_COLUMNS), F.lit(UNDATED_SHARDS)).cast("int")
+
+
 def _fingerprint(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
@@ -51,7 +60,7 @@ def with_grid_key(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
         "day_no": F.coalesce(F.unix_date("date"), F.lit(0)),
         "hour_no": F.coalesce("hour", F.lit(0)),
         "slot": F.when(dated, time_slot("input_date", gap_sec)).otherwise(undated_slot),
-        "shard": F.when(dated, 0).otherwise(F.pmod(_fingerprint(df), F.lit(UNDATED_SHARDS))).cast("int"),
+        "shard": F.when(dated, 0).otherwise(_shard()),
     })
 
 

@@ -113,8 +113,9 @@ def test_replacing_a_table_that_is_being_read(spark, tmp_path):
 
 
 def test_reports_and_pages_run(spark, files, tmp_path):
-    p = prepare.prepare_products(raw.load_product_files(spark, files[0])).cache()
-    w = prepare.prepare_workers(raw.load_worker_files(spark, files[1])).cache()
+    prepare.run(spark, *files, str(tmp_path))
+    p = prepared.load_products(spark, str(tmp_path / "products"))
+    w = prepared.load_workers(spark, str(tmp_path / "workers"))
     report = {**{f"p_{k}": v for k, v in explore.product_report(p).items()},
               **{f"w_{k}": v for k, v in explore.worker_report(w).items()}}
     assert len(report) == 38
