@@ -17,6 +17,7 @@ def ordinals(df: DataFrame, column: str, name: str = "position") -> DataFrame:
     """
     spot = df.orderBy(column).withColumn("spot", F.monotonically_increasing_id())
     placed = cut(spot).withColumn("part", F.shiftright("spot", 33))
+    # runs over one row per partition of the sort
     before = (Window.partitionBy(F.lit(0)).orderBy("part")
                     .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (placed.groupBy("part").agg(F.count("*").alias("size"))

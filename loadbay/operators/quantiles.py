@@ -53,6 +53,7 @@ def quantiles(counts: DataFrame, probs: Sequence[float], names: Sequence[str],
 
     ranks = [f(position(p)) for p in probs for f in (F.floor, F.ceil)]
 
+    # runs over bins, not rows: at most ``bins`` + 1 of them per group
     order = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = order.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     holds = F.lit(False)

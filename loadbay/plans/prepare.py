@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loadbay import schemas as S
 from loadbay.operators import clean, features
-from loadbay.session import stage
+from loadbay.session import materialized
 from loadbay.sources import prepared, raw
 
 Stage = Callable[[str, Callable[[], DataFrame]], DataFrame]
@@ -37,12 +37,9 @@ def run(spark: SparkSession, product_paths, worker_paths, out_dir: str,
         raw_format: str = "csv", timestamp_format: str | None = None,
         out_format: str = "parquet") -> None:
     """Read raw files, write ``<out_dir>/products`` and ``<out_dir>/workers``."""
-    def staged(key, build):
-        return stage(spark, f"{out_dir}/{key}", build)
-
     products = raw.load_product_files(spark, product_paths, raw_format)
     workers = raw.load_worker_files(spark, worker_paths, raw_format)
-    prepared.write_prepared(prepare_products(products, timestamp_format, staged),
+    prepared.write_prepared(prepare_products(products, timestamp_format, materialized),
                             f"{out_dir}/products", out_format)
-    prepared.write_prepared(prepare_workers(workers, timestamp_format, staged=staged),
+    prepared.write_prepared(prepare_workers(workers, timestamp_format, staged=materialized),
                             f"{out_dir}/workers", out_format)

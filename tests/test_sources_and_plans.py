@@ -134,3 +134,15 @@ def test_reports_and_pages_run(spark, files, tmp_path):
         for page in pages:
             if name in page:
                 page[name].collect()
+
+
+def test_command_line_jobs(spark, files, tmp_path):
+    from loadbay.__main__ import main
+    out = str(tmp_path / "cli")
+    main(["prepare", "--products", *files[0], "--workers", *files[1], "--out", out, "--format", "csv"])
+    assert prepared.load_products(spark, f"{out}/products", "csv").count() == 13
+    main(["anonymise", "--prepared", out, "--staging", str(tmp_path / "st"), "--format", "csv"])
+    back = prepared.load_workers(spark, f"{out}/workers", "csv")
+    assert back.count() == 10 and back.where("employee_name like 'Worker%'").count() == 0
+    with pytest.raises(SystemExit):
+        main(["nothing"])
