@@ -39,29 +39,31 @@ def histogram(df: DataFrame, value: str, by: Sequence[str] = (), bins: int = S.H
     """
     by = list(by)
     counts = Q.counted(df, value, by)
-    if cap == "group" and by:
-        caps = Q.quantiles(counts, [q], ["cap"], by).select(*by, "cap")
-        kept = counts.join(caps, by).where(F.col("v") <= F.col("cap"))
-    else:
+    if by and cap == "global":
         kept = counts.where(F.col("v") <= tail_cap(df, value, q))
-    span = (kept.groupBy(*by).agg(F.min("v").alias("least"), F.max("v").alias("most"))
-                .where(F.col("least").isNotNull()))
-    flat = F.col("least") == F.col("most")
-    span = span.select(*by,
-                       F.when(flat, F.col("least") - 0.5).otherwise(F.col("least")).alias("lo"),
-                       F.when(flat, F.col("most") + 0.5).otherwise(F.col("most")).alias("hi"))
-    if by:
+        span = kept.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
         placed = kept.join(span, by)
     else:
-        whole = span.select(F.struct("lo", "hi")).scalar()
-        placed = kept.withColumn("span", whole).select("v", "n", "span.lo", "span.hi")
+        limits = Q.quantiles(counts, [q], ["cap"], by)
+        if by:
+            placed = counts.join(limits.select(*by, "lo", "cap", F.col("cap_kept").alias("hi")), by)
+        else:
+            whole = limits.select(F.struct("lo", "cap", F.col("cap_kept").alias("hi"))).scalar()
+            placed = counts.withColumn("w", whole).select("v", "n", "w.lo", "w.cap", "w.hi")
+        placed = placed.where(F.col("v") <= F.col("cap"))
+    flat = F.col("lo") == F.col("hi")
+    placed = placed.select(*by, "v", "n",
+                           F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+                           F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
     filled = (placed.withColumn("bin", bin_index(F.col("v"), F.col("lo"), F.col("hi"), bins))
-                    .groupBy(*by, "bin").agg(F.sum("n").alias("count")))
-    grid = span.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+                    .groupBy(*by, "lo", "hi", "bin").agg(F.sum("n").alias("n")))
+    # at most ``bins`` entries per group: spread them out again with the empty ones
+    found = filled.groupBy(*by, "lo", "hi").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))
+    spread = found.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return (grid.join(filled, [*by, "bin"], "left")
-                .select(*by, "bin", (F.col("lo") + F.col("bin") * width).alias("bin_start"),
-                        F.coalesce("count", F.lit(0)).alias("count")))
+    return spread.select(*by, "bin", (F.col("lo") + F.col("bin") * width).alias("bin_start"),
+                         F.coalesce(F.try_element_at("found", F.col("bin")), F.lit(0)).alias("count"))
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = (),

@@ -31,8 +31,9 @@ def quantiles(counts: DataFrame, probs: Sequence[float], names: Sequence[str],
               by: Sequence[str] = (), bins: int = BINS) -> DataFrame:
     """Linearly interpolated quantiles of a ``counted`` frame.
 
-    One row per group: the keys, ``rows``, ``lo``, ``hi`` and one column per
-    probability. Without keys there is exactly one row, of NULLs if empty.
+    One row per group: the keys, ``rows``, ``lo``, ``hi`` and per probability the
+    quantile and ``<name>_kept``, the largest value not above it. Without keys there
+    is exactly one row, of NULLs if empty.
     """
     by = list(by)
     span = counts.groupBy(*by).agg(F.sum("n").alias("rows"),
@@ -80,7 +81,8 @@ def quantiles(counts: DataFrame, probs: Sequence[float], names: Sequence[str],
     out = []
     for i, (p, name) in enumerate(zip(probs, names)):
         low, high = F.col(f"low_{i}"), F.col(f"high_{i}")
-        out.append((low + (high - low) * (position(p) - F.floor(position(p)))).alias(name))
+        between = low + (high - low) * (position(p) - F.floor(position(p)))
+        out += [between.alias(name), F.when(high <= between, high).otherwise(low).alias(f"{name}_kept")]
     return picked.select(*by, "rows", "lo", "hi", *out)
 
 

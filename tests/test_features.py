@@ -135,13 +135,14 @@ def test_prepared_layouts_and_empty_input(spark):
 
 
 def test_skewed_joins_keep_every_row(spark, settings):
-    """A third of the rows share one key; joins may not broadcast and AQE splits."""
+    """A third of the rows share one key; joins may not broadcast, and AQE splits."""
     settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1",
-             adaptive__skewJoin__skewedPartitionThresholdInBytes="16KB",
-             adaptive__advisoryPartitionSizeInBytes="16KB")
-    n = 30_000
-    rows = spark.range(n).selectExpr(
-        "CAST(id AS STRING) sales_order",
+             adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
+             adaptive__advisoryPartitionSizeInBytes="32KB",
+             adaptive__coalescePartitions__parallelismFirst="false", shuffle__partitions="64")
+    n = 60_000
+    rows = spark.range(0, n, 1, 8).selectExpr(
+        "CAST(id AS STRING) sales_order", "sha2(CAST(id AS STRING), 256) batch",
         "IF(id % 3 = 0, 'hot', IF(id % 3 = 1, NULL, concat('w', id % 50))) worker",
         "IF(id % 3 = 1, 'hot', concat('p', id % 40)) product_label",
         "timestampadd(DAY, IF(id % 3 = 0, 0, CAST(id % 30 AS INT)), TIMESTAMP_NTZ'2024-01-01') start_time",
@@ -149,8 +150,9 @@ def test_skewed_joins_keep_every_row(spark, settings):
     have = set(rows.columns)
     df = rows.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
                        for f in S.CLEAN_PRODUCTS])
-    out = features.product_features(df)
-    assert out.count() == n
-    hot = out.where("worker = 'hot'").agg(F.min("worker_daily_ops"), F.max("worker_daily_ops")).first()
-    assert tuple(hot) == (n // 3, n // 3)
-    assert out.where("worker is null and worker_daily_ops is not null").count() == 0
+    out = features.product_features(df).select("batch", "worker", "worker_daily_ops", "weekly_product_qty")
+    got = out.toPandas()
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    assert len(got) == n and got["batch"].nunique() == n
+    assert set(got.loc[got["worker"] == "hot", "worker_daily_ops"]) == {n // 3}
+    assert got.loc[got["worker"].isna(), "worker_daily_ops"].isna().all()
