@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 import uuid
 import zlib
 from collections.abc import Callable
@@ -35,46 +33,44 @@ def build_session(app: str = "loadbay", master: str | None = None,
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings above to a session built elsewhere."""
-    for key, value in DEFAULTS.items():
-        if spark.conf.isModifiable(key):
-            spark.conf.set(key, value)
-    return spark
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, as in tests, a
+    folder inside the warehouse, which driver and executors share as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/loadbay_work"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+def app_dir(spark: SparkSession) -> str:
+    """This application's folder inside the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/loadbay/{spark.sparkContext.applicationId}"
 
-    Only a local master may run without one; it then gets a fresh temporary folder.
-    """
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="loadbay-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder
 
+def fresh_path(spark: SparkSession, key: str) -> str:
+    """A path nobody has written yet, in this application's folder."""
+    return f"{app_dir(spark)}/{key}_{uuid.uuid4().hex}"
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder and forget the lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
 
+def release(spark: SparkSession, path: str | None = None) -> None:
+    """Delete one intermediate table, or all that this application has written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path or app_dir(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path is None:
+        app = spark.sparkContext.applicationId
+        for slot in [s for s in _staged if s[0] == app]:
+            del _staged[slot]
 
-def materialized(key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Write a table to a fresh path in the shared folder and read it back."""
-    df = build()
+
+def cut(df: DataFrame, key: str = "cut") -> DataFrame:
+    """Write to a fresh Parquet table in the shared folder and read it back: the lineage
+    ends there, columns stay prunable, and a lost executor costs only its own tasks."""
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), "loadbay", spark.sparkContext.applicationId,
-                        f"{key}_{uuid.uuid4().hex}")
+    path = fresh_path(spark, key)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialized(key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return cut(build(), key)
 
 
 _staged: dict[tuple, str] = {}
@@ -91,7 +87,7 @@ def stage(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> Data
     slot = (app, key)
     if slot not in _staged:
         name = f"{re.sub(r'[^A-Za-z0-9]+', '_', key)[-60:]}_{zlib.crc32(key.encode()):08x}"
-        path = os.path.join(shared_dir(spark), "loadbay", app, name)
+        path = f"{app_dir(spark)}/{name}"
         build().write.mode("overwrite").parquet(path)
         _staged[slot] = path
     return spark.read.parquet(_staged[slot])
