@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadbay.llm import decontaminate, line_dedup
+from loadbay.llm import decontaminate, line_dedup, minhash
 from loadbay.llm.ship import ship
 
 
@@ -21,9 +21,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         _t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")))
 
 
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(_t(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op8_minhash_neardup": op8_minhash_neardup,
 }
 ORACLE = {
     "op2_line_dedup": line_dedup.SQL,
