@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadbay.llm import decontaminate, line_dedup, minhash
+from loadbay.llm import decontaminate, line_dedup, minhash, passages, toxicity
 from loadbay.llm.ship import ship
 
 
@@ -21,14 +21,24 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         _t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_classes(_t(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_classes(_t(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_toxicity": op6_toxicity,
     "op8_minhash_neardup": op8_minhash_neardup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE = {
     "op2_line_dedup": line_dedup.SQL,
