@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadbay.llm import decontaminate, line_dedup, minhash, passages, toxicity
+from loadbay.llm import decontaminate, language, line_dedup, maintext, minhash, passages, toxicity
 from loadbay.llm.ship import ship
 
 
@@ -16,6 +16,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(_t(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(_t(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_items(
         _t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")))
@@ -25,6 +29,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(_t(spark, sf_dir, "pages"))
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_classes(_t(spark, sf_dir, "documents"))
 
@@ -35,8 +43,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_language": op4_language,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
+    "op7_html_text": op7_html_text,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op10_substring_dedup": op10_substring_dedup,
 }
