@@ -4,18 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadbay.llm import decontaminate, language, line_dedup, maintext, minhash, passages, toxicity
+from loadbay.llm import (
+    decontaminate, language, licences, line_dedup, maintext, minhash, mixing, passages, topk, toxicity)
 from loadbay.llm.ship import ship
 
+import corpus_pipeline
+
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_t(spark, sf_dir, "embeddings"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(_t(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = mixing.mixed(mixing.described(_t(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")))
+    return docs.selectExpr("doc_id", "_source AS source", "_lang AS lang", "mix_topic AS topic",
+                           "_tokens AS n_tokens", "mix_prob AS prob", "mix_weight AS weight")
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(_t(spark, sf_dir, "documents"))
 
@@ -37,20 +50,33 @@ def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_classes(_t(spark, sf_dir, "documents"))
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(_t(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passage_classes(_t(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_topk": op1_topk,
     "op2_line_dedup": op2_line_dedup,
+    "op3_mixing": op3_mixing,
     "op4_language": op4_language,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op7_html_text": op7_html_text,
     "op8_minhash_neardup": op8_minhash_neardup,
+    "op9_licences": op9_licences,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
+    "op1_topk": topk.SQL,
     "op2_line_dedup": line_dedup.SQL,
+    "op3_mixing": mixing.SQL,
     "op5_decontaminate": decontaminate.SQL,
+    "op9_licences": licences.SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
