@@ -17,8 +17,6 @@ once per item_id; rows without a doc_id are scanned like any other when there is
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -27,56 +25,56 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadbay.llm import tokens as T
+
 WINDOW = 10
 BLOCK_BYTES = 2 << 20
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-FOLD = {c: chr(c + 32) if 65 <= c <= 90 else " " for c in range(128)
-        if not (48 <= c <= 57 or 97 <= c <= 122)}
 _built: dict[int, object] = {}
 
 
-def normal_words(text: str | None) -> list[str]:
-    return [w for w in (text or "").translate(FOLD).split(" ") if w]
-
-
-def automaton(items: Iterable[tuple[int, str]], window: int = WINDOW):
-    """(word numbers, automaton of windows -> (number of words, item ids)); numbers start at 1."""
-    found: dict[tuple, tuple[int, set]] = {}
-    numbers: dict[str, int] = {}
-    for item, text in items:
-        w = tuple(numbers.setdefault(x, len(numbers) + 1) for x in normal_words(text))
-        size = min(window, len(w))
-        for i in range(len(w) - size + 1 if w else 0):
-            found.setdefault(w[i:i + size], (size, set()))[1].add(item)
-    a = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for pattern, value in found.items():
-        a.add_word(pattern, value)
-    if found:
-        a.make_automaton()
-    return numbers, a
-
-
-def scan(built, text: str | None) -> tuple[int, np.ndarray, set]:
-    """(number of words, which words are hit, items found)."""
-    numbers, a = built
-    w = normal_words(text)
-    hit, items = np.zeros(len(w) + 1, np.int64), set()
-    if numbers and w:
-        get = numbers.get
-        for end, (size, ids) in a.iter(tuple([get(x, 0) for x in w])):
-            hit[end + 1 - size] += 1
-            hit[end + 1] -= 1
-            items |= ids
-    return len(w), np.cumsum(hit[:-1]) > 0, items
-
-
-def spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of hit words as character spans of the original text."""
-    if not hit.any():
-        return []
-    at = [m.span() for m in WORD.finditer(text.translate(FOLD))]
-    edges = np.flatnonzero(np.diff(np.r_[0, hit.astype(np.int8), 0]))
-    return [(at[a][0], at[b - 1][1]) for a, b in zip(edges[::2], edges[1::2])]
+class Windows:
+    """An automaton over the windows of items; its letters are the items' words, numbered."""
+
+    def __init__(self, items: Iterable[tuple[int, str]], window: int = WINDOW):
+        items = list(items)
+        h, text, _, _ = T.words(*T.buffer(pa.array([t for _, t in items], pa.large_string())))
+        self.words = np.unique(h)
+        number = np.searchsorted(self.words, h) + 1
+        bounds = np.searchsorted(text, np.arange(len(items) + 1))
+        found: dict[tuple, tuple[int, set]] = {}
+        for (item, _), lo, hi in zip(items, bounds[:-1], bounds[1:]):
+            w = tuple(number[lo:hi].tolist())
+            size = min(window, len(w))
+            for i in range(len(w) - size + 1 if w else 0):
+                found.setdefault(w[i:i + size], (size, set()))[1].add(item)
+        self.shortest = min(map(len, found), default=0)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for pattern, value in found.items():
+            self.automaton.add_word(pattern, value)
+        if found:
+            self.automaton.make_automaton()
+
+    def scan(self, h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, dict[int, set]]:
+        """Which words are hit, and the items found by text. Only runs of item words that are
+        long enough for a window are fed to the automaton."""
+        hit = np.zeros(len(h) + 1, np.int64)
+        items: dict[int, set] = {}
+        if self.shortest and len(h):
+            at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+            known = self.words[at] == h
+            same = known[1:] & known[:-1] & (text[1:] == text[:-1])
+            first = np.flatnonzero(known & np.r_[True, ~same])
+            last = np.flatnonzero(known & np.r_[~same, True]) + 1
+            long = last - first >= self.shortest
+            for lo, hi in zip(first[long].tolist(), last[long].tolist()):
+                for end, (size, ids) in self.automaton.iter(tuple((at[lo:hi] + 1).tolist())):
+                    hit[lo + end + 1 - size] += 1
+                    hit[lo + end + 1] -= 1
+                    items.setdefault(int(text[lo]), set()).update(ids)
+        return np.cumsum(hit[:-1]) > 0, items
+
+
+SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
 
 def _scanner(shared, window: int):
@@ -84,22 +82,26 @@ def _scanner(shared, window: int):
         key = id(shared.value)
         if key not in _built:
             _built.clear()
-            _built[key] = (automaton(shared.value, window), shared.value)
-        a = _built[key][0]
-        for batch in batches:
-            n, found, where, ids = [], [], [], []
-            for t in batch.column("text"):
-                text = t.as_py()
-                words, hit, items = scan(a, text)
-                n.append(words)
-                found.append(int(hit.sum()))
-                where.append([{"begin": b, "end": e} for b, e in spans(text or "", hit)])
-                ids.append(sorted(items))
+            _built[key] = (Windows(shared.value, window), shared.value)
+        windows = _built[key][0]
+        for batch in T.slices(batches, "text"):
+            data, off = T.buffer(batch.column("text"))
+            h, text, begin, end = T.words(data, off)
+            hit, found = windows.scan(h, text)
+            n = batch.num_rows
+            spans: list[list] = [[] for _ in range(n)]
+            edges = np.r_[hit & np.r_[True, ~hit[:-1] | (text[1:] != text[:-1])], False] if len(hit) else hit
+            stops = np.r_[hit & np.r_[~hit[1:] | (text[1:] != text[:-1]), True], False] if len(hit) else hit
+            if hit.any():                                    # bytes to characters of the text
+                heads = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+                for a, b in zip(np.flatnonzero(edges), np.flatnonzero(stops)):
+                    base = heads[off[text[a]]]
+                    spans[text[a]].append({"begin": int(heads[begin[a]] - base), "end": int(heads[end[b]] - base)})
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()),
-                pa.array(found, pa.int64()),
-                pa.array(where, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
-                pa.array(ids, pa.list_(pa.int64()))],
+                batch.column("doc_id"), batch.column("th"),
+                pa.array(np.bincount(text, minlength=n).astype(np.int64)),
+                pa.array(np.bincount(text[hit], minlength=n).astype(np.int64)), pa.array(spans, SPANS),
+                pa.array([sorted(found.get(i, ())) for i in range(n)], pa.list_(pa.int64()))],
                 ["doc_id", "th", "n_words", "n_hit", "spans", "items"])
     return run
 
@@ -115,14 +117,14 @@ def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out[-1][1] = max(out[-1][1], s[1])
                 else:
                     out.append(list(s))
-            body = (text.as_py() or "").translate(FOLD)
-            n_hit.append(sum(len(WORD.findall(body[b:e])) for b, e in out))
+            body = text.as_py() or ""
+            n_hit.append(len(T.words(*T.buffer(pa.array([body[b:e] for b, e in out], pa.large_string())))[0]))
             merged.append([{"begin": b, "end": e} for b, e in out])
         keep = ["doc_id", "th", "n_words", "items"]
         yield pa.RecordBatch.from_arrays(
             [batch.column(c) for c in keep[:3]] + [
                 pa.array(n_hit, pa.int64()),
-                pa.array(merged, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
+                pa.array(merged, SPANS),
                 batch.column("items")],
             [*keep[:3], "n_hit", "spans", "items"])
 
