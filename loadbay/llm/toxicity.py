@@ -26,7 +26,7 @@ from loadbay.llm import bigru
 from loadbay.llm import tokens as T
 
 STEPS, STRIDE = 24, 12
-SAMPLE = 1500
+SAMPLE = 800
 FOLDS, HELD_OUT = 5, 0
 EPOCHS = 8
 U = np.uint64
@@ -82,27 +82,51 @@ def highest(owner: np.ndarray, logit: np.ndarray, n: int) -> np.ndarray:
     return best
 
 
+def gathered(texts: list[str], y: np.ndarray, piece: int = 1 << 20):
+    """``encode`` of many texts in pieces of bounded size, with one numbering of the words, and the
+    log odds of word and trigram buckets by the texts that hold them."""
+    parts, counts = [], {n: np.zeros((2, n)) for n in (bigru.WORDS, bigru.GRAMS)}
+    whole = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+    first = 0
+    for batch in T.slices([whole], "text", piece):
+        word, gram, bounds, owner, win = encode(batch.column("text"))
+        used = win >= 0
+        pairs = np.unique(owner[np.nonzero(used)[1]] * np.int64(max(len(word), 1)) + win[used])
+        t, c = pairs // max(len(word), 1), pairs % max(len(word), 1)
+        size = np.diff(bounds)[c]
+        flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(bounds[c], size)
+        for n, code, text in ((bigru.WORDS, word[c], t), (bigru.GRAMS, gram[flat], np.repeat(t, size))):
+            seen = np.unique(text * n + code)
+            toxic = y[first + seen // n]
+            counts[n] += [np.bincount(seen % n, toxic, n), np.bincount(seen % n, 1 - toxic, n)]
+        parts.append((word, gram, bounds, owner + first, win))
+        first += batch.num_rows
+    # a word is its bucket and its trigrams
+    numbers: dict[tuple, int] = {}
+    words, grams, wins, owners = [], [], [], []
+    for word, gram, bounds, owner, win in parts:
+        code = np.full(len(word) + 1, -1, np.int32)
+        for i, w in enumerate(word.tolist()):
+            g = gram[bounds[i]:bounds[i + 1]]
+            key = (w, g.tobytes())
+            if key not in numbers:
+                numbers[key] = len(words)
+                words.append(w)
+                grams.append(g)
+            code[i] = numbers[key]
+        wins.append(code[win])
+        owners.append(owner)
+    bounds = np.r_[0, np.cumsum([len(g) for g in grams])].astype(np.int64)
+    odds = [np.log((c[0] + 2) / (y.sum() + 4)) - np.log((c[1] + 2) / ((1 - y).sum() + 4)) for c in counts.values()]
+    return (np.array(words, np.int64), np.concatenate(grams) if grams else np.zeros(0, np.int64), bounds,
+            np.concatenate(owners), np.concatenate(wins, axis=1), odds)
+
+
 def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11):
     """(network, slope, offset): a text's score is the sigmoid of slope * highest logit + offset."""
-    word, gram, bounds, owner, win = encode(pa.array(texts, pa.large_string()))
     y = labels.astype(np.float32)
-
-    def odds(code, size, text):
-        seen = np.unique(text * size + code)
-        t = np.bincount(seen % size, y[seen // size], size)
-        c = np.bincount(seen % size, 1 - y[seen // size], size)
-        return np.log((t + 2) / (y.sum() + 4)) - np.log((c + 2) / ((1 - y).sum() + 4))
-
-    used = win >= 0
-    place = np.nonzero(used)
-    text_of = owner[place[1]]
-    code = win[used]
-    w_odds = odds(word[code], bigru.WORDS, text_of)
-    pairs = np.unique(text_of * np.int64(len(word)) + code)
-    t, c = pairs // len(word), pairs % len(word)
-    size = np.diff(bounds)[c]
-    flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(bounds[c], size)
-    p = bigru.init(seed, w_odds, odds(gram[flat], bigru.GRAMS, np.repeat(t, size)))
+    word, gram, bounds, owner, win, (w_odds, g_odds) = gathered(texts, y)
+    p = bigru.init(seed, w_odds, g_odds)
     start = np.r_[w_odds[word], -9][win].max(axis=0)   # first choice: the most telling word
     adam, rng = bigru.Adam(p, 0.01), np.random.default_rng(seed)
     value = start
