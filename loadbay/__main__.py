@@ -25,7 +25,8 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--workers", nargs="+", required=True)
     a.add_argument("--out", required=True)
     a.add_argument("--raw-format", default="csv", choices=("csv", "json", "orc", "parquet"))
-    a.add_argument("--timestamp-format", help="Spark pattern; default is ISO-like text")
+    a.add_argument("--timestamp-format", nargs="+", default=[], metavar="PATTERN|COLUMN=PATTERN",
+                   help="Spark pattern for all columns, or one by column; default is ISO-like text")
     a.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     b = jobs.add_parser("explore", help="all summaries, chart datasets and anomaly tables")
     b.add_argument("--prepared", required=True)
@@ -38,12 +39,19 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def timestamp_formats(given: list[str]) -> str | dict[str, str] | None:
+    """One pattern, or patterns by column."""
+    if len(given) == 1 and "=" not in given[0]:
+        return given[0]
+    return dict(g.split("=", 1) for g in given) or None
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"loadbay {args.job}", args.master)
     if args.job == "prepare":
         prepare.run(spark, args.products, args.workers, args.out, args.raw_format,
-                    args.timestamp_format, args.format)
+                    timestamp_formats(args.timestamp_format), args.format)
     elif args.job == "explore":
         p = prepared.load_products(spark, f"{args.prepared}/products", args.format)
         w = prepared.load_workers(spark, f"{args.prepared}/workers", args.format)

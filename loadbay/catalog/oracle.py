@@ -142,7 +142,9 @@ CTES = {
       CASE WHEN event_id % 500 <> 499 THEN CAST(ts AS VARCHAR) END AS input_date,
       CASE WHEN event_id % 250 <> 1 THEN event_type END AS dialog_type,
       CASE event_id % 4 WHEN 0 THEN 'Welcome Employee#' || lpad(CAST(user_id AS VARCHAR), 6, '0')
-           WHEN 1 THEN '' ELSE event_type END AS screen_heading,
+           WHEN 1 THEN '' ELSE CASE WHEN event_id % 20 = 2
+             THEN 'Employee#' || lpad(CAST(user_id AS VARCHAR), 6, '0') || ' to Employee#'
+                  || lpad(CAST(user_id * 7 % 50 AS VARCHAR), 6, '0') ELSE event_type END END AS screen_heading,
       'Scan ' || event_type AS screen_text,
       CASE WHEN event_type = 'error' THEN 'E' || (event_id % 10) END AS system_message,
       event_type || '?' AS dialog_prompt, 'F' || (event_id % 5) AS dialog_field,
@@ -151,7 +153,7 @@ CTES = {
            THEN '{"user": "Employee#' || lpad(CAST(user_id AS VARCHAR), 6, '0') || '"}'
            ELSE props END AS json_text,
       CASE WHEN user_id % 2 = 0 THEN 'inputs_1.csv' ELSE 'inputs_2.csv' END AS source_file
-    FROM events""",
+    FROM (SELECT * REPLACE (ts - to_days(9131) AS ts) FROM events)""",
     "w_raw": """
     SELECT * EXCLUDE (event_id) FROM w_once
     UNION ALL SELECT * EXCLUDE (event_id) FROM w_once WHERE event_id % 83 = 0""",
@@ -220,10 +222,12 @@ CTES = {
     "texts": """
     SELECT DISTINCT t FROM (SELECT screen_heading AS t FROM w_clean
                             UNION ALL SELECT json_text FROM w_clean)""",
-    # no text of the test tables holds more than one name
+    "scrub_list": "SELECT list({'r': real, 'f': fake} ORDER BY position) AS names FROM n_map WHERE NOT is_system",
+    # every name of the list replaced in its order
     "scrubbed": """
-    SELECT t, nullif(coalesce(replace(t, real, fake), t), '') AS clean
-    FROM texts LEFT JOIN (SELECT * FROM n_map WHERE NOT is_system) ON contains(t, real)""",
+    SELECT t, nullif(list_reduce([t] || [x.r || chr(1) || x.f FOR x IN names],
+                                 lambda acc, x: replace(acc, split_part(x, chr(1), 1), split_part(x, chr(1), 2))), '') AS clean
+    FROM texts, scrub_list""",
 }
 
 _NAMES = re.compile(r"\b(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
@@ -329,14 +333,12 @@ oracle("feat_employee_dialog",
 oracle("feat_employee_device",
        "SELECT employee_id, input_date, device, employee_device_usage_count FROM w")
 oracle("session_gaps", """
-    SELECT employee_id, first_input, previous_input,
-      epoch_us(first_input - previous_input) / 1e6 AS gap_sec,
-      CASE WHEN epoch_us(first_input - previous_input) <= 1800000000 THEN 0 ELSE 1 END AS new_session
-    FROM (SELECT employee_id, first_input,
-            lag(last_input) OVER (PARTITION BY employee_id ORDER BY first_input) AS previous_input
-          FROM (SELECT employee_id, min(input_date) AS first_input, max(input_date) AS last_input
-                FROM w_clean WHERE input_date IS NOT NULL AND employee_id IS NOT NULL
-                GROUP BY employee_id, epoch_us(input_date) // 1800000000))""")
+    SELECT employee_id, input_date, previous_input,
+      epoch_us(input_date - previous_input) / 1e6 AS gap_sec,
+      CASE WHEN epoch_us(input_date - previous_input) <= 1800000000 THEN 0 ELSE 1 END AS new_session
+    FROM (SELECT employee_id, input_date,
+            lag(input_date) OVER (PARTITION BY employee_id ORDER BY input_date) AS previous_input
+          FROM w_clean WHERE input_date IS NOT NULL AND employee_id IS NOT NULL)""")
 oracle("sessionize", "SELECT employee_id, input_date, prompt_date, session_id FROM w")
 oracle("prepare_products", f"SELECT {P_COLS} FROM p")
 oracle("prepare_workers", f"SELECT {W_COLS} FROM w")
@@ -372,7 +374,7 @@ oracle("explore_workers", f"SELECT {', '.join(S.WORKER_EXPLORE)} FROM w_scalar")
 oracle("export_products", f"SELECT {P_COLS} FROM p WHERE {_P_SEL}")
 oracle("export_workers", """
     SELECT employee_id, input_date, dialog_type, response_time_sec, session_id FROM w
-    WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND employee_name IS NOT NULL""")
+    WHERE date BETWEEN DATE '1999-01-05' AND DATE '1999-01-20' AND employee_name IS NOT NULL""")
 
 
 # --- summaries ----------------------------------------------------------------
@@ -498,13 +500,18 @@ oracle("daily_qty_by_product", f"""
     WHERE {drop_null('date', 'product_label')} GROUP BY 1, 2""")
 
 
-def _matrix(table, row, column, values):
-    cells = ", ".join(f"count(*) FILTER (WHERE {column} = '{v}') AS \"{v}\"" for v in values)
-    return f"SELECT {row}, {cells} FROM {table} WHERE {drop_null(row, column)} GROUP BY 1"
+def _matrix(table, row, column):
+    return f"""
+    SELECT a.{row}, string_agg(b.{column} || '=' || coalesce(n, 0), ';' ORDER BY b.{column}) AS cells
+    FROM (SELECT DISTINCT {row} FROM {table} WHERE {drop_null(row, column)}) a
+      CROSS JOIN (SELECT DISTINCT {column} FROM {table} WHERE {drop_null(row, column)}) b
+      LEFT JOIN (SELECT {row}, {column}, count(*) AS n FROM {table} GROUP BY 1, 2) c
+        ON a.{row} = c.{row} AND b.{column} = c.{column}
+    GROUP BY 1"""
 
 
-oracle("process_by_product", _matrix("p_scalar", "product_label", "process", Q.PROCESSES))
-oracle("dialog_by_employee", _matrix("w_scalar", "employee_name", "dialog_type", Q.DIALOGS))
+oracle("process_by_product", _matrix("p_scalar", "product_label", "process"))
+oracle("dialog_by_employee", _matrix("w_scalar", "employee_name", "dialog_type"))
 oracle("product_split", f"""
     SELECT product_label, count(*) AS count,
       {r('count(*) / (SELECT count(product_label) FROM p_scalar) * 100')} AS share_pct

@@ -22,7 +22,7 @@ from loadbay.operators import clean, correlation, datasets, distribution, featur
 from loadbay.operators import filters as FL
 from loadbay.operators import sessions, summaries
 from loadbay.plans import anonymise, explore, prepare
-from loadbay.session import materialized, shared_dir, stage
+from loadbay.session import app_dir, materialized, stage
 from loadbay.sources import prepared, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,9 +93,8 @@ def maps(spark, sf) -> anonymise.Maps:
 
 
 def _folder(spark, sf, name):
-    app = spark.sparkContext.applicationId
     slug = "".join(ch if ch.isalnum() else "_" for ch in sf)
-    return f"{shared_dir(spark)}/loadbay/{app}/{slug}/{name}"
+    return f"{app_dir(spark)}/{slug}/{name}"
 
 
 # --- sources, sinks, layout ---------------------------------------------------
@@ -359,10 +358,9 @@ def _(spark, sf):
 
 @query("session_gaps")
 def _(spark, sf):
-    """Slot-level gaps: the places where a session can begin."""
-    grid = sessions.activity_grid(features.worker_scalars(clean_w(spark, sf)))
-    return sessions.gap_flags(grid.where("dated")).select(
-        "employee_id", "first_input", "previous_input", "gap_sec", "new_session")
+    """Every dated row with the input before it."""
+    return sessions.row_gaps(features.worker_scalars(clean_w(spark, sf))).select(
+        "employee_id", "input_date", "previous_input", "gap_sec", "new_session")
 
 
 @query("sessionize")
@@ -440,7 +438,7 @@ def _(spark, sf):
 @query("export_workers")
 def _(spark, sf):
     path = _folder(spark, sf, "export_workers")
-    f = FL.Filters(date_range=(dt.date(2024, 1, 5), dt.date(2024, 1, 20)))
+    f = FL.Filters(date_range=(dt.date(1999, 1, 5), dt.date(1999, 1, 20)))
     prepared.export_csv(FL.filter_workers(P(spark, sf), W(spark, sf), f), path)
     return (prepared.load_workers(spark, path, "csv")
             .select("employee_id", "input_date", "dialog_type", "response_time_sec", "session_id"))
@@ -590,21 +588,16 @@ def _(spark, sf):
     return datasets.daily_quantity(P(spark, sf))
 
 
-PROCESSES = ("100 - Goods Receipt", "110 - Putaway", "210 - Replenishment",
-             "341 - Shipping - Express", "341 - Shipping Detail", "SYSTEM")
-DIALOGS = ("click", "error", "purchase", "signup", "view")
-
-
 @query("process_by_product")
 def _(spark, sf):
-    """Products as rows and processes as columns: the process list is bounded."""
-    return datasets.matrix(P(spark, sf), "product_label", "process", PROCESSES)
+    """Products as rows, every process that occurs as a cell."""
+    return datasets.matrix_rows(P(spark, sf), "product_label", "process")
 
 
 @query("dialog_by_employee")
 def _(spark, sf):
-    """Employees as rows and dialog types as columns: the type list is bounded."""
-    return datasets.matrix(W(spark, sf), "employee_name", "dialog_type", DIALOGS)
+    """Employees as rows, every dialog type that occurs as a cell."""
+    return datasets.matrix_rows(W(spark, sf), "employee_name", "dialog_type")
 
 
 @query("product_split")

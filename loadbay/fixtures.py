@@ -12,22 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fact table; one that is a single file (one row group, hence one task for all
-    the text building below) is spread over the cores first."""
-    df = _table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) == 1 else df
-
-
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined with part and supplier, as a product-movement log."""
-    joined = (_facts(spark, sf_dir, "lineitem")
+    joined = (_table(spark, sf_dir, "lineitem")
               .join(_table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
               .join(_table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey")))
     timed = joined.selectExpr(
@@ -75,7 +66,9 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a handheld input log."""
-    events = _facts(spark, sf_dir, "events").selectExpr(
+    # 25 years back, so that both logs cover common days
+    events = _table(spark, sf_dir, "events").withColumn(
+        "ts", F.expr("timestampadd(DAY, -9131, ts)")).selectExpr(
         "*", "explode(sequence(1, IF(event_id % 83 = 0, 2, 1))) AS copy")
     return events.selectExpr(
         "concat('W', user_id % 3) AS warehouse",
@@ -90,7 +83,8 @@ def raw_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(event_id % 500 = 499, NULL, CAST(ts AS STRING)) AS input_date",
         "IF(event_id % 250 = 1, NULL, event_type) AS dialog_type",
         "CASE event_id % 4 WHEN 0 THEN concat('Welcome Employee#', lpad(CAST(user_id AS STRING), 6, '0'))"
-        " WHEN 1 THEN '' ELSE event_type END AS screen_heading",
+        " WHEN 1 THEN '' ELSE IF(event_id % 20 = 2, concat('Employee#', lpad(CAST(user_id AS STRING), 6, '0'),"
+        " ' to Employee#', lpad(CAST(user_id * 7 % 50 AS STRING), 6, '0')), event_type) END AS screen_heading",
         "concat('Scan ', event_type) AS screen_text",
         "IF(event_type = 'error', concat('E', event_id % 10), NULL) AS system_message",
         "concat(event_type, '?') AS dialog_prompt",

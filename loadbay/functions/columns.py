@@ -54,22 +54,27 @@ def total(c: str | Column) -> Column:
     return F.coalesce(F.sum(col(c)), F.lit(0))
 
 
-def _micros(c: str | Column) -> Column:
-    return F.rint(col(c) * F.lit(1e6))
+def micros(c: str | Column) -> Column:
+    """Seconds as a whole number of microseconds, to be summed without rounding."""
+    return F.rint(col(c) * F.lit(1e6)).cast("decimal(18,0)")
+
+
+def from_micros(c: Column) -> Column:
+    return c.cast("double") / F.lit(1e6)
 
 
 def sum_seconds(c: str | Column) -> Column:
     """Sum of a seconds column, 0 if empty.
 
-    Added up in whole microseconds, which a double holds exactly up to 9e9 seconds,
-    so the result does not depend on how rows are spread over tasks.
+    Added up as decimals of whole microseconds (28 digits), so the result does not depend on
+    how rows are spread over tasks, whatever the total.
     """
-    return F.coalesce(F.sum(_micros(c)), F.lit(0.0)) / F.lit(1e6)
+    return F.coalesce(from_micros(F.sum(micros(c))), F.lit(0.0))
 
 
 def mean_seconds(c: str | Column) -> Column:
     """Mean of a seconds column, NULL if empty; order-independent like the sum."""
-    return ratio(F.sum(_micros(c)), F.count(col(c))) / F.lit(1e6)
+    return ratio(F.sum(micros(c)), F.count(col(c))) / F.lit(1e6)
 
 
 def calendar(ts: str | Column) -> dict[str, Column]:

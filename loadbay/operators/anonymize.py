@@ -21,8 +21,6 @@ STEMS = ("Al", "Be", "Ca", "Do", "El", "Fa", "Gi", "Ha", "Il", "Jo", "Ka", "Lu",
 GIVEN_ENDINGS = ("da", "len", "ris", "vio")
 FAMILY_ENDINGS = ("berg", "ford", "mont", "wick")
 
-FOLD_LIMIT = 500
-
 
 def make_pool(given: Sequence[str], family: Sequence[str]) -> list[str]:
     """Every given name with every family name, ordered by MD5 of the full name."""
@@ -104,61 +102,57 @@ def replace_by_map(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
 
 # --- names inside free text ---------------------------------------------------
 
-def _fold(df: DataFrame, columns: Sequence[str], people: DataFrame) -> DataFrame:
-    """All replacements one after another, in map order, in one expression."""
-    pairs = people.agg(F.sort_array(F.collect_list(F.struct("position", "real", "fake")))).scalar()
+def _fold(book: DataFrame) -> DataFrame:
+    """(text, names) with ``states``: the text after each replacement, in map order."""
+    start = F.array(F.struct(F.lit(-1).cast("bigint").alias("position"), F.col("text").alias("now")))
 
-    def scrubbed(c):
-        text = F.aggregate("__pairs", F.col(c),
-                           lambda acc, m: F.replace(acc, m["real"], m["fake"]))
-        return F.nullif(text, F.lit(""))
+    def step(states, m):
+        now = F.replace(F.element_at(states, -1)["now"], m["real"], m["fake"])
+        return F.array_append(states, F.struct(m["position"].alias("position"), now.alias("now")))
 
-    return (df.withColumn("__pairs", pairs)
-              .withColumns({c: scrubbed(c) for c in columns}).drop("__pairs"))
+    return book.withColumn("states", F.aggregate("names", start, step))
 
 
 def _rewrite(texts: DataFrame, people: DataFrame) -> DataFrame:
-    """(text, scrubbed) for any number of names.
+    """(text, scrubbed) of the texts that hold a name, for any number of names.
 
-    Each round finds, per text, the first name in map order that comes after the
-    last one replaced, and replaces it. Texts leave when no name is left; a
-    replacement that creates a later name is picked up like any other.
+    A text's names are found once and replaced one after another in a single expression. A
+    replacement can create a name that comes later in map order; the states in between are
+    searched for such names, and only texts where one appears are folded again with it. Rounds
+    are as many as created names create others in turn, however many names a text holds.
     """
-    active = texts.select("text", F.col("text").alias("now"), F.lit(-1).cast("bigint").alias("last"))
-    done = None
+    found = cut(find_terms(texts, people, "text", "text", "real").join(people, "real"))
+    due, done = found, None
     while True:
-        active = cut(active)
-        found = (find_terms(active, people, "now", "now", "real").join(people, "real")
-                 .withColumnRenamed("now", "seen"))
-        due = active.join(found, (F.col("now") == F.col("seen"))
-                          & (F.col("position") > F.col("last")))
-        step = cut(due.groupBy("text").agg(
-            F.first("now").alias("now"),
-            F.min_by(F.struct("position", "real", "fake"), "position").alias("m")))
-        settled = active.join(step, "text", "left_anti").select("text", F.col("now").alias("scrubbed"))
+        # a text's own names: no more than it has letters
+        book = cut(_fold(due.groupBy("text").agg(
+            F.sort_array(F.collect_list(F.struct("position", "real", "fake"))).alias("names"))))
+        between = (book.select("text", F.explode("states").alias("s")).where("s.position >= 0")
+                       .select(F.struct("text", "s.position").alias("at"), F.col("s.now").alias("now")))
+        later = (find_terms(between, people, "at", "now", "real").join(people, "real")
+                 .where(F.col("position") > F.col("at.position"))
+                 .select("at.text", "real", "position", "fake").distinct())
+        created = cut(later.join(due.select("text", "real"), ["text", "real"], "left_anti"))
+        settled = (book.join(created.select("text").distinct(), "text", "left_anti")
+                       .select("text", F.element_at("states", -1)["now"].alias("scrubbed")))
         done = settled if done is None else done.unionAll(settled)
-        if step.isEmpty():
+        if created.isEmpty():
             return done
-        active = step.select("text", F.replace("now", F.col("m.real"), F.col("m.fake")).alias("now"),
-                             F.col("m.position").alias("last"))
+        again = due.join(created.select("text").distinct(), "text", "left_semi")
+        due = cut(again.unionByName(created))
 
 
 def scrub_text(df: DataFrame, mapping: DataFrame,
-               columns: Sequence[str] = ("screen_heading", "json_text"),
-               fold_limit: int = FOLD_LIMIT) -> DataFrame:
+               columns: Sequence[str] = ("screen_heading", "json_text")) -> DataFrame:
     """Replace every personal name inside free text; empty text becomes NULL.
 
-    Names are literal, replaced one after another in sort order. Up to
-    ``fold_limit`` names travel with the plan and rows are rewritten in place, with
-    no shuffle. More names than that are located by joins on the distinct texts.
+    Names are literal, replaced one after another in sort order. The distinct texts are
+    rewritten once, see ``_rewrite``, and joined back.
     """
     columns = [c for c in columns if c in df.columns]
-    people = cut(mapping.where(~F.col("is_system")).select("real", "fake", "position"))
-    few = people.limit(fold_limit + 1).count()
-    if few == 0:
+    if not columns:
         return df
-    if few <= fold_limit:
-        return _fold(df, columns, people)
+    people = cut(mapping.where(~F.col("is_system")).select("real", "fake", "position"))
     order = df.columns
     texts = None
     for c in columns:
@@ -166,8 +160,9 @@ def scrub_text(df: DataFrame, mapping: DataFrame,
         texts = one if texts is None else texts.unionAll(one)
     book = cut(_rewrite(texts.where(F.length("text") > 0).distinct(), people))
     for c in columns:
-        pairs = book.select(F.col("text").alias(c), F.nullif("scrubbed", F.lit("")).alias("__new"))
-        df = df.join(pairs, c, "left").drop(c).withColumnRenamed("__new", c)
+        pairs = book.select(F.col("text").alias(c), F.col("scrubbed").alias("__new"))
+        df = (df.join(pairs, c, "left")
+                .withColumn(c, F.nullif(F.coalesce("__new", c), F.lit(""))).drop("__new"))
     return df.select(*order)
 
 
@@ -178,12 +173,12 @@ def anonymize_products(products: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def anonymize_workers(workers: DataFrame, names: DataFrame, ids: DataFrame,
-                      equipment: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+                      equipment: DataFrame) -> DataFrame:
     out = workers
     for column, mapping in (("employee_name", names), ("employee_id", ids),
                             ("equipment", equipment)):
         out = replace_by_map(out, column, mapping)
-    return scrub_text(out, names, fold_limit=fold_limit)
+    return scrub_text(out, names)
 
 
 def unmapped_counts(products: DataFrame, workers: DataFrame, names: DataFrame) -> DataFrame:

@@ -18,8 +18,10 @@ def standardize_workers(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(S.WORKER_HEADERS)
 
 
-def parse_timestamps(df: DataFrame, columns, fmt: str | None = None) -> DataFrame:
-    return df.withColumns({c: C.parse_timestamp(c, fmt) for c in columns})
+def parse_timestamps(df: DataFrame, columns, fmt: str | dict[str, str] | None = None) -> DataFrame:
+    """``fmt``: one pattern for all columns, or a pattern by column; without one, ISO text."""
+    by = fmt if isinstance(fmt, dict) else dict.fromkeys(columns, fmt)
+    return df.withColumns({c: C.parse_timestamp(c, by.get(c)) for c in columns})
 
 
 def drop_sentinel_expiration(df: DataFrame) -> DataFrame:
@@ -43,7 +45,7 @@ def coerce_nullable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: C.parse_double(c) for c in ("purchase_order", "order_line")})
 
 
-def type_products(df: DataFrame, fmt: str | None = None) -> DataFrame:
+def type_products(df: DataFrame, fmt: str | dict[str, str] | None = None) -> DataFrame:
     """All coercions of the product log, before de-duplication."""
     return (df.transform(parse_timestamps, S.PRODUCT_TIMESTAMPS, fmt)
               .transform(drop_sentinel_expiration)
@@ -51,7 +53,7 @@ def type_products(df: DataFrame, fmt: str | None = None) -> DataFrame:
               .transform(coerce_nullable))
 
 
-def type_workers(df: DataFrame, fmt: str | None = None) -> DataFrame:
+def type_workers(df: DataFrame, fmt: str | dict[str, str] | None = None) -> DataFrame:
     return parse_timestamps(df, S.WORKER_TIMESTAMPS, fmt)
 
 
@@ -81,9 +83,9 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def clean_products(df: DataFrame, fmt: str | None = None) -> DataFrame:
+def clean_products(df: DataFrame, fmt: str | dict[str, str] | None = None) -> DataFrame:
     return df.transform(type_products, fmt).transform(drop_duplicate_rows)
 
 
-def clean_workers(df: DataFrame, fmt: str | None = None) -> DataFrame:
+def clean_workers(df: DataFrame, fmt: str | dict[str, str] | None = None) -> DataFrame:
     return df.transform(type_workers, fmt).transform(drop_duplicate_rows)

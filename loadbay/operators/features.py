@@ -23,8 +23,15 @@ from loadbay.operators import sessions
 
 
 def attach(df: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join of per-key features onto detail rows; NULL keys never match."""
-    return df.join(features.where(C.all_present(*keys)), keys, "left")
+    """Left join of per-key features onto detail rows; NULL keys never match.
+
+    A hash of the keys is one more join key: the aggregate is not partitioned by it, so Spark puts
+    an exchange between aggregate and join, which is what lets AQE split a hot key's detail rows.
+    The extra exchange moves one row per key.
+    """
+    mark = F.xxhash64(*keys)
+    features = features.where(C.all_present(*keys)).withColumn("__key", mark)
+    return df.withColumn("__key", mark).join(features, [*keys, "__key"], "left").drop("__key")
 
 
 def with_calendar(df: DataFrame, ts: str) -> DataFrame:
@@ -145,7 +152,7 @@ def activity_features(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFr
         return Window.partitionBy("employee_id", *keys)
 
     def mean_over(window):
-        total = F.sum(F.rint(F.col("response_sum") * 1e6)).over(window)
+        total = F.sum("response_micros").over(window)
         return C.ratio(total, F.sum("responses").over(window)) / F.lit(1e6)
 
     dated = F.col("dated")
@@ -154,7 +161,7 @@ def activity_features(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFr
         *sessions.GRID_KEY,
         F.when(dated, F.sum("dialogs").over(day)).alias("employee_daily_actions"),
         F.when(dated, mean_over(day)).alias("employee_daily_avg_response_sec"),
-        F.when(dated, F.sum(F.rint(F.col("response_sum") * 1e6)).over(day) / F.lit(1e6))
+        F.when(dated, F.coalesce(C.from_micros(F.sum("response_micros").over(day)), F.lit(0.0)))
          .alias("employee_daily_total_response_sec"),
         F.when(dated, F.sum("dialogs").over(week)).alias("employee_weekly_actions"),
         F.when(dated, mean_over(week)).alias("employee_weekly_avg_response_sec"),

@@ -4,8 +4,10 @@ Spark's ``percentile`` keeps a value -> count map of a whole group in one task.
 That is fine for frames bounded by the calendar (operations per day), not for
 response times in microseconds. Here equal values are first collapsed to counts
 (map-side), the counts are spread over equal-width bins, the running total of the
-bins tells which bin holds each wanted rank, and only those bins are sorted. A
-group holding a third of all rows is thus worked on by many tasks.
+bins tells which bin holds each wanted rank. Those bins are divided once more over
+the range of their own values, so that a wild value, which leaves all others in one
+bin, does no harm; only the bins left are sorted. A group holding a third of all rows
+is thus worked on by many tasks.
 """
 
 from __future__ import annotations
@@ -18,6 +20,13 @@ from pyspark.sql import functions as F
 from loadbay.functions import columns as C
 
 BINS = 65_536
+LEVELS = 2
+
+
+def _bin(v, low, high, bins: int):
+    """Equal-width bin of v; never falls as v rises, so ranks stay exact."""
+    width = high - low
+    return F.coalesce(F.when(width > 0, F.floor((v - low) / width * F.lit(float(bins)))), F.lit(0)).cast("bigint")
 
 
 def counted(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -27,8 +36,38 @@ def counted(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
               .agg(F.count("*").alias("n")))
 
 
+def narrowed(spread: DataFrame, ranks: Sequence, by: Sequence[str], bins: int = BINS,
+             levels: int = LEVELS) -> tuple[DataFrame, list[str]]:
+    """The values of (by..., v, n, rows, lo, hi) that share a last bin with a wanted rank, with
+    ``base``, the rows below that bin, and the names of the bin columns.
+
+    ``levels`` times, bins of equal width are laid over the values at hand; only those that hold
+    a wanted rank go on, with the range of their own values.
+    """
+    cells = spread.withColumns({"low": F.col("lo"), "high": F.col("hi"), "base": F.lit(0).cast("bigint")})
+    path: list[str] = []
+    for level in range(levels):
+        name = f"bin_{level}"
+        cells = cells.withColumn(name, _bin(F.col("v"), F.col("low"), F.col("high"), bins))
+        # runs over bins, not rows: at most ``bins`` + 1 of them in a group
+        order = Window.partitionBy(*by, *path) if by or path else Window.partitionBy(F.lit(0))
+        before = order.orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+        holds = F.lit(False)
+        for r in ranks:
+            holds = holds | ((r >= F.col("start")) & (r < F.col("start") + F.col("size")))
+        starts = (cells.groupBy(*by, *path, name)
+                       .agg(F.sum("n").alias("size"), F.first("rows").alias("rows"), F.first("base").alias("base"),
+                            F.min("v").alias("low"), F.max("v").alias("high"))
+                       .withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(before), F.lit(0)))
+                       .where(holds)
+                       .select(*by, *path, name, "low", "high", F.col("start").alias("base")))
+        path.append(name)
+        cells = cells.drop("low", "high", "base").join(starts, [*by, *path])
+    return cells, path
+
+
 def quantiles(counts: DataFrame, probs: Sequence[float], names: Sequence[str],
-              by: Sequence[str] = (), bins: int = BINS) -> DataFrame:
+              by: Sequence[str] = (), bins: int = BINS, levels: int = LEVELS) -> DataFrame:
     """Linearly interpolated quantiles of a ``counted`` frame.
 
     One row per group: the keys, ``rows``, ``lo``, ``hi`` and per probability the
@@ -44,31 +83,16 @@ def quantiles(counts: DataFrame, probs: Sequence[float], names: Sequence[str],
         whole = span.select(F.struct("rows", "lo", "hi")).scalar()
         spread = (counts.withColumn("span", whole)
                         .select("v", "n", "span.rows", "span.lo", "span.hi"))
-    width = F.col("hi") - F.col("lo")
-    bin_no = F.when(width > 0, F.floor((F.col("v") - F.col("lo")) / width * F.lit(float(bins))))
-    spread = spread.withColumn("bin", F.coalesce(bin_no, F.lit(0)).cast("bigint"))
-
     # ranks on either side of each wanted position
     def position(p: float):
         return F.lit(float(p)) * (F.col("rows") - 1)
 
     ranks = [f(position(p)) for p in probs for f in (F.floor, F.ceil)]
 
-    # runs over bins, not rows: at most ``bins`` + 1 of them per group
-    order = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    before = order.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    holds = F.lit(False)
-    for r in ranks:
-        holds = holds | ((r >= F.col("start")) & (r < F.col("start") + F.col("size")))
-    starts = (spread.groupBy(*by, "bin").agg(F.sum("n").alias("size"),
-                                             F.first("rows").alias("rows"))
-                    .withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
-                    .where(holds)
-                    .select(*by, "bin", "start"))
-    inside = (Window.partitionBy(*by, "bin").orderBy("v")
+    cells, path = narrowed(spread, ranks, by, bins, levels)
+    inside = (Window.partitionBy(*by, *path).orderBy("v")
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (spread.join(starts, [*by, "bin"])
-                    .withColumn("upto", F.col("start") + F.sum("n").over(inside)))
+    ranked = cells.withColumn("upto", F.col("base") + F.sum("n").over(inside))
 
     def at(rank):
         hit = (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n"))
@@ -84,8 +108,3 @@ def quantiles(counts: DataFrame, probs: Sequence[float], names: Sequence[str],
         between = low + (high - low) * (position(p) - F.floor(position(p)))
         out += [between.alias(name), F.when(high <= between, high).otherwise(low).alias(f"{name}_kept")]
     return picked.select(*by, "rows", "lo", "hi", *out)
-
-
-def bounded_quantiles(value: str, probs: Sequence[float], names: Sequence[str]):
-    """Aggregates for groups with provably few values, such as counts per day."""
-    return [F.percentile(value, F.lit(float(p))).alias(n) for p, n in zip(probs, names)]

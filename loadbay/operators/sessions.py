@@ -8,8 +8,9 @@ first input of a slot, and all rows of a slot share one session id. Only the slo
 (at most 86400 / gap per employee and day) are ordered per employee.
 
 Rows without an input time come last and open a session each. They are ordered by
-prompt time and grouped by half-hour of the prompt and a hash shard, so that one
-employee's undated rows are numbered by many tasks: a group gets a base number from
+prompt time and grouped by half-hour of the prompt and a shard of a hash of the whole row,
+as many shards as there are 50 000 undated rows, so that one employee's undated rows are
+numbered by many tasks: a group gets a base number from
 the running total of group sizes, a row its place inside the group.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from loadbay import schemas as S
 from loadbay.functions import columns as C
 
-UNDATED_SHARDS = 64
+UNDATED_PER_SHARD = 50_000
 NO_PROMPT = 2 ** 62
 
 # What identifies a grid row; none of these is ever NULL but the employee.
@@ -38,20 +39,20 @@ def time_slot(ts: str | Column, gap_sec: int = S.SESSION_GAP_SEC) -> Column:
     return F.floor(micros / F.lit(gap_sec * 1_000_000)).cast("bigint")
 
 
-# Short columns that tell undated rows of one half-hour apart: the grid must not
-# read the long text columns only to spread these rows.
-SHARD_COLUMNS = ("prompt_date", "dialog_type", "device", "equipment", "dialog_field", "user_input")
-
-
-def _shard() -> Column:
-    return F.pmod(F.xxhash64(*SHARD_COLUMNS), F.lit(UNDATED_SHARDS)).cast("int")
+def _shard(df: DataFrame, rows_per_shard: int) -> Column:
+    """Which shard an undated row belongs to: a hash of the whole row, over as many shards as the
+    undated rows of the table ask for."""
+    undated = df.where(F.col("input_date").isNull()).agg(F.count("*")).scalar()
+    shards = F.ceil(undated / F.lit(float(rows_per_shard))).cast("bigint")
+    return F.pmod(_fingerprint(df), F.greatest(shards, F.lit(1))).cast("int")
 
 
 def _fingerprint(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def with_grid_key(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
+def with_grid_key(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC,
+                  per_shard: int = UNDATED_PER_SHARD) -> DataFrame:
     """Add the grid key to rows that have calendar columns."""
     dated = F.col("input_date").isNotNull()
     undated_slot = F.coalesce(time_slot("prompt_date"), F.lit(NO_PROMPT))
@@ -60,7 +61,7 @@ def with_grid_key(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
         "day_no": F.coalesce(F.unix_date("date"), F.lit(0)),
         "hour_no": F.coalesce("hour", F.lit(0)),
         "slot": F.when(dated, time_slot("input_date", gap_sec)).otherwise(undated_slot),
-        "shard": F.when(dated, 0).otherwise(_shard()),
+        "shard": F.when(dated, 0).otherwise(_shard(df, per_shard)),
     })
 
 
@@ -70,12 +71,12 @@ def activity_grid(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
     Daily, weekly and hourly totals and the session numbers all derive from it, so
     the detail rows are aggregated once, on narrow columns.
     """
-    return (with_grid_key(df.where(F.col("employee_id").isNotNull()), gap_sec)
+    return (with_grid_key(df, gap_sec).where(F.col("employee_id").isNotNull())
             .groupBy(*GRID_KEY, "date", "week_number", "hour")
             .agg(F.count("*").alias("rows"),
                  F.count("dialog_type").alias("dialogs"),
                  F.count("response_time_sec").alias("responses"),
-                 C.sum_seconds("response_time_sec").alias("response_sum"),
+                 F.sum(C.micros("response_time_sec")).alias("response_micros"),
                  F.min("input_date").alias("first_input"),
                  F.max("input_date").alias("last_input")))
 
@@ -92,6 +93,24 @@ def gap_flags(grid: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
                 .withColumn("new_session", F.when(F.col("gap_sec") <= gap_sec, 0).otherwise(1)))
 
 
+def row_gaps(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
+    """Dated rows with ``previous_input``, ``gap_sec`` and ``new_session``.
+
+    Inside a slot the previous row is found by a window over the slot alone; a slot's first row
+    takes the last input of the slot before.
+    """
+    keyed = with_grid_key(df, gap_sec).where(F.col("dated") & F.col("employee_id").isNotNull())
+    before = gap_flags(activity_grid(df, gap_sec).where("dated"), gap_sec).select(
+        *GRID_KEY, F.col("previous_input").alias("slot_before"))
+    inside = Window.partitionBy(*GRID_KEY).orderBy("input_date")
+    return (keyed.withColumn("row_before", F.lag("input_date").over(inside))
+            .join(before, list(GRID_KEY))
+            .withColumn("previous_input", F.coalesce("row_before", "slot_before"))
+            .withColumn("gap_sec", C.seconds_between("previous_input", "input_date"))
+            .withColumn("new_session", F.when(F.col("gap_sec") <= gap_sec, 0).otherwise(1))
+            .drop("row_before", "slot_before", *GRID_KEY[1:]))
+
+
 def number_grid(grid: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
     """``session_base``: the session id of a dated grid row (1, 2, ... per employee);
     for an undated group the number of sessions before it."""
@@ -106,11 +125,12 @@ def placed(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
     """Rows with grid key and ``place``: 0 if dated, else 1, 2, ... in the group."""
     keyed = with_grid_key(df, gap_sec)
     group = Window.partitionBy(*GRID_KEY).orderBy("prompt_date", "fingerprint")
-    undated = (keyed.where(F.col("input_date").isNull())
+    undated = (keyed.where(F.col("input_date").isNull() & F.col("employee_id").isNotNull())
                     .withColumn("fingerprint", _fingerprint(df))
                     .withColumn("place", F.row_number().over(group).cast("bigint"))
                     .drop("fingerprint"))
-    dated = (keyed.where(F.col("input_date").isNotNull())
+    # dated rows, and rows that get no session for want of an employee
+    dated = (keyed.where(F.col("input_date").isNotNull() | F.col("employee_id").isNull())
                   .withColumn("place", F.lit(0).cast("bigint")))
     return dated.unionByName(undated)
 

@@ -18,7 +18,7 @@ def _inline(_key: str, build: Callable[[], DataFrame]) -> DataFrame:
     return build()
 
 
-def prepare_products(raw_log: DataFrame, fmt: str | None = None,
+def prepare_products(raw_log: DataFrame, fmt: str | dict[str, str] | None = None,
                      staged: Stage = _inline) -> DataFrame:
     """38 columns. ``staged`` may write the cleaned table out between the steps, so
     that every aggregate scans narrow Parquet columns instead of the full shuffle."""
@@ -26,7 +26,7 @@ def prepare_products(raw_log: DataFrame, fmt: str | None = None,
     return features.product_features(cleaned)
 
 
-def prepare_workers(raw_log: DataFrame, fmt: str | None = None,
+def prepare_workers(raw_log: DataFrame, fmt: str | dict[str, str] | None = None,
                     gap_sec: int = S.SESSION_GAP_SEC, staged: Stage = _inline) -> DataFrame:
     """36 columns."""
     cleaned = staged("clean_workers", lambda: clean.clean_workers(raw_log, fmt))
@@ -34,7 +34,7 @@ def prepare_workers(raw_log: DataFrame, fmt: str | None = None,
 
 
 def run(spark: SparkSession, product_paths, worker_paths, out_dir: str,
-        raw_format: str = "csv", timestamp_format: str | None = None,
+        raw_format: str = "csv", timestamp_format: str | dict[str, str] | None = None,
         out_format: str = "parquet") -> None:
     """Read raw files, write ``<out_dir>/products`` and ``<out_dir>/workers``."""
     products = raw.load_product_files(spark, product_paths, raw_format)

@@ -1,8 +1,9 @@
 """Raw log files to one text-typed table per log.
 
-Files are read with their own header and every column as text, then stacked by
-name. A path may be a file or a folder of files that share a header, so the plan
-grows with the number of layouts, not of files.
+A path may be a file, a folder of files or a glob. Every export is read by its own header, gets
+its label from it and its name in ``source_file``; a folder that Spark has written (``_SUCCESS``), or
+that is named like a file (``moves.csv/``), is one export. Exports that share a header are read together, so the plan
+grows with the number of layouts, not of files. Quoted fields may hold line breaks.
 """
 
 from __future__ import annotations
@@ -17,15 +18,15 @@ from loadbay import schemas as S
 from loadbay.operators import clean
 
 
-def read_text_table(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
+def read_text_table(spark: SparkSession, path: str | list[str], fmt: str = "csv", **options) -> DataFrame:
     """One raw export, all columns text: csv (default), json, orc or parquet."""
     if fmt == "csv":
         return spark.read.csv(path, header=True, inferSchema=False,
-                              **{"multiLine": False, "escape": '"', **options})
+                              **{"multiLine": True, "escape": '"', **options})
     if fmt == "json":
         return spark.read.json(path, primitivesAsString=True, **options)
     df = spark.read.format(fmt).options(**options).load(path)
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    return df.withColumns({c: F.col(f"`{c}`").cast("string") for c in df.columns})
 
 
 def label_from_header(df: DataFrame) -> DataFrame:
@@ -37,11 +38,59 @@ def label_from_header(df: DataFrame) -> DataFrame:
     return df.drop(*marked).withColumn("product_label", F.lit(label))
 
 
-def tag_source(df: DataFrame, path: str) -> DataFrame:
-    """The name of the export: last path component, or the file name under a glob."""
-    name = path.rstrip("/").rsplit("/", 1)[-1]
-    tag = F.col("_metadata.file_name") if any(ch in name for ch in "*?[{") else F.lit(name)
-    return df.withColumn("source_file", tag)
+def _children(fs, status) -> list:
+    return sorted((s for s in fs.listStatus(status.getPath())
+                   if not s.getPath().getName().startswith(("_", "."))), key=lambda s: s.getPath().getName())
+
+
+def _first_line(spark: SparkSession, fs, status) -> str:
+    """The header line of a CSV file, or of the first part of a folder that has one."""
+    io = spark._jvm.java.io
+    for s in _children(fs, status) if status.isDirectory() else [status]:
+        if s.getLen():
+            reader = io.BufferedReader(io.InputStreamReader(fs.open(s.getPath()), "UTF-8"))
+            try:
+                return reader.readLine() or ""
+            finally:
+                reader.close()
+    return ""
+
+
+def exports(spark: SparkSession, path: str, fmt: str) -> list[tuple[str, bool, object]]:
+    """(path, is a folder, layout) of every export that ``path`` names: only names and headers
+    reach the driver."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for s in fs.globStatus(hadoop) or []:
+        whole = not s.isDirectory() or s.getPath().getName().lower().endswith(f".{fmt}") or any(
+            c.getPath().getName() == "_SUCCESS" for c in fs.listStatus(s.getPath()))
+        found += [s] if whole else _children(fs, s)
+    if not found:
+        raise FileNotFoundError(path)
+    out = []
+    for s in found:
+        name = s.getPath().toString()
+        layout = (_first_line(spark, fs, s) if fmt == "csv"
+                  else tuple(spark.read.format(fmt).load(name).columns))
+        if layout:
+            out.append((name, s.isDirectory(), layout))
+    return out
+
+
+def read_exports(spark: SparkSession, paths: Iterable[str], fmt: str, **options) -> list[DataFrame]:
+    """One frame per layout, with ``source_file`` and, where the header has it, the label."""
+    groups: dict[tuple, list[str]] = {}
+    for path in paths:
+        for name, folder, layout in exports(spark, path, fmt):
+            groups.setdefault((folder, layout), []).append(name)
+    frames = []
+    for (folder, _), names in groups.items():
+        tag = (F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2) if folder
+               else F.col("_metadata.file_name"))
+        df = read_text_table(spark, names, fmt, **options)
+        frames.append(label_from_header(df.withColumn("source_file", F.url_decode(F.replace(tag, F.lit("+"), F.lit("%2B"))))))
+    return frames
 
 
 def _stack(frames: Iterable[DataFrame], layout: Iterable[str]) -> DataFrame:
@@ -54,17 +103,13 @@ def _stack(frames: Iterable[DataFrame], layout: Iterable[str]) -> DataFrame:
 
 def load_product_files(spark: SparkSession, paths: Iterable[str], fmt: str = "csv",
                        **options) -> DataFrame:
-    frames = []
-    for path in paths:
-        df = tag_source(read_text_table(spark, path, fmt, **options), path)
-        frames.append(df.transform(label_from_header).transform(clean.standardize_products))
+    frames = [clean.standardize_products(df) for df in read_exports(spark, paths, fmt, **options)]
     return _stack(frames, S.PRODUCT_RAW)
 
 
 def load_worker_files(spark: SparkSession, paths: Iterable[str], fmt: str = "csv",
                       **options) -> DataFrame:
-    frames = [tag_source(read_text_table(spark, p, fmt, **options), p)
-              .transform(clean.standardize_workers) for p in paths]
+    frames = [clean.standardize_workers(df) for df in read_exports(spark, paths, fmt, **options)]
     return _stack(frames, S.WORKER_RAW)
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadbay import schemas as S
+from loadbay.functions import columns as C
 from loadbay.operators import features, sessions
 
 T0 = dt.datetime(2024, 1, 1)
@@ -156,3 +157,38 @@ def test_skewed_joins_keep_every_row(spark, settings):
     assert len(got) == n and got["batch"].nunique() == n
     assert set(got.loc[got["worker"] == "hot", "worker_daily_ops"]) == {n // 3}
     assert got.loc[got["worker"].isna(), "worker_daily_ops"].isna().all()
+
+
+@pytest.mark.parametrize("join", ["dialog", "worker_day"])
+def test_each_group_join_splits_its_hot_key(spark, settings, join):
+    """One key holds 80 % of the rows; the plan has this join alone."""
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1",
+             adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
+             adaptive__advisoryPartitionSizeInBytes="32KB",
+             adaptive__coalescePartitions__parallelismFirst="false", shuffle__partitions="64")
+    n = 60_000
+    rows = spark.range(0, n, 1, 8)
+    hot = "id % 5 > 0"
+    if join == "dialog":
+        df = rows.selectExpr("sha2(CAST(id AS STRING), 256) v", f"IF({hot}, 'e', concat('e', id % 300)) employee_id",
+                             f"IF({hot}, 'd', concat('d', id % 7)) dialog_type")
+        out = features.with_employee_dialog_count(df)
+        got = out.where("employee_id = 'e' AND dialog_type = 'd'").select("employee_dialog_type_count")
+    else:
+        df = rows.selectExpr("sha2(CAST(id AS STRING), 256) v", f"IF({hot}, 'w', concat('w', id % 300)) worker",
+                             f"date_add(DATE'2024-01-01', IF({hot}, 0, CAST(id % 40 AS INT))) date", "'p' process",
+                             "1L quantity_pcs", "1.5D duration_sec_final")
+        out = features.with_worker_day_features(df)
+        got = out.where("worker = 'w'").select("worker_daily_ops")
+    assert out.toPandas().shape[0] == n
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Join(skew=true)") == 1
+    assert {r[0] for r in got.distinct().collect()} == {n * 4 // 5}
+
+
+def test_sums_of_seconds_do_not_depend_on_order(spark):
+    big = "CAST(id * 1000003 + 0.000001 * (id % 7) AS DOUBLE)"
+    one = spark.range(0, 200_000, 1, 1).selectExpr(f"{big} x")
+    many = spark.range(0, 200_000, 1, 37).selectExpr(f"{big} x").repartition(23)
+    a, b = (df.agg(C.sum_seconds("x"), C.mean_seconds("x")).first() for df in (one, many))
+    assert a == b and a[0] > 9e9

@@ -70,6 +70,31 @@ def test_raw_tables_from_other_formats(spark, files, tmp_path):
     assert globbed.select("source_file").first()[0].endswith(".parquet")
 
 
+def test_folder_files_keep_their_own_header_label_and_name(spark, tmp_path):
+    names = {v: k for k, v in S.PRODUCT_HEADERS.items()}
+    heads = [names["worker"], names["process"], names["quantity_pcs"], names["start_time"], names["expiration"]]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write_csv(folder / "one.csv", [*heads, "SUKL A"], [["Ann", "line one\nline two", "1", "31/1/2024 08:00", "2024-05-01", ""]])
+    write_csv(folder / "two.csv", [*heads[::-1], "SUKL B"], [["2025-06-01", "1/2/2024 09:00", "2", "p", "Bo", ""]])
+    for path in (str(folder), str(folder / "*.csv")):
+        df = raw.load_product_files(spark, [path])
+        got = {r.source_file: (r.worker, r.process, r.quantity_pcs, r.product_label) for r in df.collect()}
+        assert got == {"one.csv": ("Ann", "line one\nline two", "1", "A"), "two.csv": ("Bo", "p", "2", "B")}
+    from loadbay.operators import clean
+    typed = clean.type_products(df, {"start_time": "d/M/yyyy HH:mm"}).orderBy("worker").collect()
+    assert [(str(r.start_time), str(r.expiration)) for r in typed] == [
+        ("2024-01-31 08:00:00", "2024-05-01 00:00:00"), ("2024-02-01 09:00:00", "2025-06-01 00:00:00")]
+
+
+def test_prepared_csv_keeps_line_breaks(spark, tmp_path):
+    path = str(tmp_path / "w")
+    text = 'first "quoted"\nsecond'
+    prepared.export_csv(spark.createDataFrame([("E1", text), ("E2", "x")], "employee_id string, screen_text string"), path)
+    got = {r.employee_id: r.screen_text for r in prepared.load_workers(spark, path, "csv").collect()}
+    assert got == {"E1": text, "E2": "x"}
+
+
 def test_whole_pipeline(spark, files, tmp_path):
     out = str(tmp_path / "out")
     prepare.run(spark, *files, out)

@@ -175,3 +175,15 @@ def test_matrix_and_heatmap_are_zero_filled(spark):
     wide = datasets.matrix(df, "day_of_week", "hour")
     assert wide.columns == ["day_of_week", "3", "23"]
     assert len(S.PRODUCT_CORRELATION_SHORT) == 8
+
+
+def test_a_wild_value_leaves_no_hot_bin(spark):
+    df = spark.range(100_000).selectExpr("IF(id = 5, 2.5e11, id / 1e6) x")
+    counts = Q.counted(df, "x")
+    whole = counts.selectExpr("*", "100000L rows", "0D lo", "2.5e11 hi")
+    cells, path = Q.narrowed(whole, [F.lit(49_999), F.lit(74_999)], [])
+    assert cells.groupBy(*path).count().agg(F.max("count")).first()[0] < 100
+    row = Q.quantiles(counts, [0.5, 0.75], ["a", "b"]).first()
+    values = sorted([i / 1e6 for i in range(100_000) if i != 5] + [2.5e11])
+    assert row.hi == 2.5e11 and row.lo == 0.0
+    assert row.a == pytest.approx((values[49_999] + values[50_000]) / 2, rel=1e-12)
