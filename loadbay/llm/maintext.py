@@ -43,7 +43,7 @@ NAMES = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\
 SPACE = re.compile(r"[\s ]+")
 # words of a class, id or role that mark boilerplate or content
 BAD = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|banner|bottom-?bar|breadcrumbs?|byline-?links|comments?|commentlist|consent|"
+    r"(?:^|(?<!has)(?<!with)(?<!without)(?<!no)(?<!\bin)[^a-z])(?:ads?|advert\w*|adsense|banner|bottom-?bar|breadcrumbs?|byline-?links|comments?|commentlist|consent|"
     r"cookies?|disqus|donate|footer|foot|gdpr|header|hidden|login|masthead|menu\w*|meta-?bar|modal|nav\w*|newsletter|notice|"
     r"notification|outbrain|overlay|pager|pagination|paywall|popup|privacy|promo\w*|recommend\w*|related|replies|reply|respond|"
     r"search\w*|share\w*|sharing|shoutbox|side-?bar\w*|signup|skip|social\w*|sponsor\w*|subscribe|subscription|tags|taboola|"
@@ -142,8 +142,10 @@ def blocks(page: str) -> list[Block]:
                     unseen |= key == "hidden" and not value or value.lower() == "true"
                 elif name in ("body", "html"):
                     continue
-                elif BAD.search(value):
-                    bad += 1
+                elif hit := BAD.search(value):
+                    # an article's own header holds its title
+                    own = "header" in hit.group().lower() and (inside or GOOD.search(value))
+                    bad += not own
                 elif GOOD.search(value):
                     good += 1
         count += 1
@@ -160,7 +162,7 @@ def blocks(page: str) -> list[Block]:
 def cost(b: Block) -> float:
     """Linear score of a block; positive speaks for content."""
     words = b.text.count(" ") + 1
-    return (-1.2 + 0.9 * math.log1p(words) - 5.0 * b.linked - 7.0 * min(b.bad, 2) + 4.0 * min(b.good, 1)
+    return (-1.2 + 0.9 * math.log1p(words) - 5.0 * b.linked - 10.0 * min(b.bad, 2) + 4.0 * min(b.good, 1)
             + (0.8 if b.tag in ("p", "pre", "blockquote") else 0.0)
             + (0.6 if b.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and b.good else 0.0)
             + (0.5 if b.text[-1] in ".!?:\"'”…)" else 0.0))

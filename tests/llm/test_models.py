@@ -178,6 +178,24 @@ def test_main_text():
         "Quoted <words>.", "First point made", "Second point made"]
 
 
+OTHER = """<body><div id="wrapper" class="has-sidebar"><div class="top-bar">Call us <a href=t>now</a></div>
+<div role="navigation"><a href=1>News</a> | <a href=2>Sport</a></div>
+<div id="content"><div class="post-header"><h1>Plain title</h1></div><p>A first paragraph of the story, with some words in it.</p>
+<p class="notice">This site is going to be closed for repairs on Sunday from nine to five, so please come back on Monday.</p>
+<h2>Part</h2><p>Short.</p><table><tr><td>Cell one</td><td>Cell two</td></tr></table><p>The last paragraph ends the story here.</p>
+<div class="share-buttons">Share this story with all of your friends today</div>
+<div class="related-posts"><h3>Related</h3><p>Another story that you may like to read as well, about the same thing.</p></div></div>
+<div id="comments"><h3>3 replies</h3><div class="comment"><p>What a nice story that was, I will read it again tomorrow.</p></div></div>
+<div class="sidebar"><p>About the author, who lives somewhere and writes a lot of stories.</p></div></div>
+<div id="footer"><p>All rights reserved by the company that runs this site.</p></div></body>"""
+
+
+def test_main_text_without_article_tags():
+    assert maintext.main_text(OTHER).split("\n\n") == [
+        "Plain title", "A first paragraph of the story, with some words in it.", "Part", "Short.", "Cell one", "Cell two",
+        "The last paragraph ends the story here."]
+
+
 def test_pages_strange_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "v", "plain words only, without any markup in them at all."),
             (3, "w", "<p>Never closed, and a stray </div></b> tag & an < sign in a long enough text"),
