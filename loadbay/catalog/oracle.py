@@ -266,12 +266,14 @@ oracle("source_file_counts", "SELECT source_file, count(*) AS row_count FROM w_r
 oracle("load_prepared_products", f"SELECT {P_COLS} FROM p")
 oracle("load_prepared_workers",
        f"SELECT * REPLACE (nullif(screen_heading, '') AS screen_heading) FROM (SELECT {W_COLS} FROM w)")
-oracle("write_prepared",
-       "SELECT date, count(*) AS row_count, CAST(sum(quantity_pcs) AS BIGINT) AS qty FROM p_scalar GROUP BY 1")
-oracle("write_anonymized", """
-    SELECT n_map.fake AS employee_name, id_map.fake AS employee_id, count(*) AS row_count
-    FROM w_clean JOIN n_map ON employee_name = n_map.real JOIN id_map ON employee_id = id_map.real
-    GROUP BY 1, 2""")
+oracle("write_prepared", f"SELECT {P_COLS} FROM p")
+_MASKED = {"employee_name": "n_map.fake", "employee_id": "id_map.fake", "equipment": "eq_map.fake",
+           "screen_heading": "h.clean", "json_text": "j.clean"}
+oracle("write_anonymized", f"""
+    SELECT {", ".join(f"{_MASKED.get(c, 'w.' + c)} AS {c}" for c in S.PREPARED_WORKERS.names)}
+    FROM w LEFT JOIN n_map ON w.employee_name = n_map.real
+      LEFT JOIN id_map ON w.employee_id = id_map.real LEFT JOIN eq_map ON w.equipment = eq_map.real
+      LEFT JOIN scrubbed h ON w.screen_heading = h.t LEFT JOIN scrubbed j ON w.json_text = j.t""")
 
 # --- cleaning -----------------------------------------------------------------
 oracle("standardize_columns", "SELECT * FROM p_raw")

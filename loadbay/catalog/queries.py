@@ -170,8 +170,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = _folder(spark, sf, "prepared_by_date")
     prepared.write_prepared(P(spark, sf), path)
-    return (prepared.load_products(spark, path).groupBy("date")
-            .agg(F.count("*").alias("row_count"), C.total("quantity_pcs").alias("qty")))
+    return rounded(prepared.load_products(spark, path), "worker_daily_duration_sec")
 
 
 @query("write_anonymized")
@@ -182,8 +181,7 @@ def _(spark, sf):
     m = maps(spark, sf)
     out = N.anonymize_workers(prepared.load_workers(spark, path), m.names, m.ids, m.equipment)
     prepared.replace_table(out, path, _folder(spark, sf, "anonymized_workers_staging"))
-    return datasets.counts(prepared.load_workers(spark, path),
-                           "employee_name", "employee_id", name="row_count")
+    return rounded(prepared.load_workers(spark, path), *RESPONSE_FLOATS)
 
 
 # --- cleaning and quality -----------------------------------------------------
