@@ -53,8 +53,8 @@ def main(argv: list[str] | None = None) -> None:
         prepare.run(spark, args.products, args.workers, args.out, args.raw_format,
                     timestamp_formats(args.timestamp_format), args.format)
     elif args.job == "explore":
-        p = prepared.load_products(spark, f"{args.prepared}/products", args.format)
-        w = prepared.load_workers(spark, f"{args.prepared}/workers", args.format)
+        p = prepared.cached(spark, f"{args.prepared}/products", "products", args.format)
+        w = prepared.cached(spark, f"{args.prepared}/workers", "workers", args.format)
         explore.write_report(explore.product_report(p), f"{args.out}/products")
         explore.write_report(explore.worker_report(w), f"{args.out}/workers")
     else:

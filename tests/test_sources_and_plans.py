@@ -87,6 +87,18 @@ def test_folder_files_keep_their_own_header_label_and_name(spark, tmp_path):
         ("2024-01-31 08:00:00", "2024-05-01 00:00:00"), ("2024-02-01 09:00:00", "2025-06-01 00:00:00")]
 
 
+def test_cached_tables_are_read_once_until_reloaded(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("E1",)], "employee_id string").write.parquet(path)
+    first = prepared.cached(spark, path, "workers")
+    assert first is prepared.cached(spark, path, "workers") and first.is_cached and first.count() == 1
+    spark.createDataFrame([("E2",)], "employee_id string").write.mode("append").parquet(path)
+    assert prepared.cached(spark, path, "workers").count() == 1
+    again = prepared.cached(spark, path, "workers", reload=True)
+    assert again.count() == 2
+    again.unpersist()
+
+
 def test_prepared_csv_keeps_line_breaks(spark, tmp_path):
     path = str(tmp_path / "w")
     text = 'first "quoted"\nsecond'
