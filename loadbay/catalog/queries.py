@@ -649,7 +649,9 @@ def _corr(name, table, columns, digits=None):
 
 
 _corr("corr_products", P, S.PRODUCT_CORRELATION)
-_corr("corr_workers", W, S.WORKER_CORRELATION)
+# from the averages as they are reported, six digits: a coefficient next to a rounding step must not
+# depend on digits behind them
+_corr("corr_workers", lambda spark, sf: rounded(W(spark, sf), *RESPONSE_FLOATS), S.WORKER_CORRELATION)
 _corr("corr_products_dash", P, S.PRODUCT_CORRELATION_SHORT, 2)
 _corr("corr_workers_dash", W, S.WORKER_CORRELATION_SHORT, 2)
 
