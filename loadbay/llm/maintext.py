@@ -17,6 +17,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -37,8 +38,10 @@ RAW = re.compile(r"</(?:script|style)\s*>", re.I)
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"},
                 "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 ENDS_P = BLOCK - {"body", "html", "head", "button", "option", "select", "title", "noscript"}
+ENDS = {name: SELF_CLOSING.get(name, set()) | ({"p"} if name in ENDS_P else set()) for name in BLOCK}
+# a quote holds a value together only after an equals sign; elsewhere it is a character like others
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^<>])*+)>|[^<]+|<", re.S)
 NAMES = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 SPACE = re.compile(r"[\s ]+")
 # words of a class, id or role that mark boilerplate or content
@@ -53,11 +56,19 @@ BAD_TAGS = frozenset("nav footer aside form menu dialog fieldset legend".split()
 GOOD_TAGS = frozenset("article main".split())
 
 
+class Holder:
+    """A block-level element; its ancestors are reached by ``up``, so pages may nest at any depth."""
+    __slots__ = ("up", "depth", "tag", "bad", "good")
+
+    def __init__(self, up, depth, tag, bad, good):
+        self.up, self.depth, self.tag, self.bad, self.good = up, depth, tag, bad, good
+
+
 class Block:
-    __slots__ = ("text", "linked", "path", "tag", "bad", "good")
+    __slots__ = ("text", "linked", "holder")
 
-    def __init__(self, text, linked, path, tag, bad, good):
-        self.text, self.linked, self.path, self.tag, self.bad, self.good = text, linked, path, tag, bad, good
+    def __init__(self, text, linked, holder):
+        self.text, self.linked, self.holder = text, linked, holder
 
 
 def blocks(page: str) -> list[Block]:
@@ -65,9 +76,10 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
-    # open tags: (name, number, bad containers, good containers, unseen)
-    stack: list[tuple[str, int, int, int, bool]] = [("", 0, 0, 0, False)]
-    count, pos, end = 0, 0, len(page)
+    # open tags: (name, holder, bad containers, good containers, unseen)
+    stack: list[tuple[str, Holder, int, int, bool]] = [("", Holder(None, 0, "", 0, 0), 0, 0, False)]
+    opened: defaultdict[str, int] = defaultdict(int)
+    pos, end = 0, len(page)
     in_link = 0
 
     def flush():
@@ -75,12 +87,17 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = SPACE.sub(" ", entities.unescape("".join(parts)) if any("&" in p for p in parts) else "".join(parts)).strip()
             if text:
-                holder = next((s for s in reversed(stack) if s[0] in BLOCK), stack[0])
-                out.append(Block(text, min(1.0, linked / len(text)), tuple(s[1] for s in stack if s[0] in BLOCK),
-                                 holder[0], holder[2], holder[3]))
+                out.append(Block(text, min(1.0, linked / len(text)), stack[-1][1]))
             parts.clear()
         linked = 0
 
+    def close(i: int):
+        nonlocal in_link
+        for s in stack[i:]:
+            opened[s[0]] -= 1
+            in_link -= s[0] == "a"
+        del stack[i:]
+
     while pos < end:
         m = TOKEN.match(page, pos)
         pos = m.end()
@@ -93,12 +110,11 @@ def blocks(page: str) -> list[Block]:
             continue
         name = name.lower()
         if m.group(1):                                       # closing
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1 if opened[name] else 0, 0, -1):
                 if stack[i][0] == name:
                     if any(s[0] in BLOCK for s in stack[i:]):
                         flush()
-                    in_link -= sum(s[0] == "a" for s in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
                 if name not in BLOCK and stack[i][0] in BLOCK:
                     break                                    # a stray inline end tag
@@ -115,12 +131,12 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in BLOCK:
             flush()
-            ends = SELF_CLOSING.get(name, ())
-            for i in range(len(stack) - 1, 0, -1):           # implied ends
+            ends = ENDS.get(name, ())
+            some = any(opened[e] for e in ends)
+            for i in range(len(stack) - 1 if some else 0, 0, -1):           # implied ends
                 s = stack[i][0]
-                if s in ends or s == "p" and name in ENDS_P:
-                    in_link -= sum(x[0] == "a" for x in stack[i:])
-                    del stack[i:]
+                if s in ends:
+                    close(i)
                 elif s in BLOCK:
                     break
         attrs = m.group(3)
@@ -148,11 +164,13 @@ def blocks(page: str) -> list[Block]:
                     bad += not own
                 elif GOOD.search(value):
                     good += 1
-        count += 1
         if name == "a":
             in_link += 1
         if not attrs.rstrip().endswith("/") or name in BLOCK:
-            stack.append((name, count, bad, good, unseen))
+            up = top[1]
+            holder = Holder(up, up.depth + 1, name, bad, good) if name in BLOCK else up
+            stack.append((name, holder, bad, good, unseen))
+            opened[name] += 1
         elif name == "a":
             in_link -= 1
     flush()
@@ -161,21 +179,23 @@ def blocks(page: str) -> list[Block]:
 
 def cost(b: Block) -> float:
     """Linear score of a block; positive speaks for content."""
-    words = b.text.count(" ") + 1
-    return (-1.2 + 0.9 * math.log1p(words) - 5.0 * b.linked - 10.0 * min(b.bad, 2) + 4.0 * min(b.good, 1)
-            + (0.8 if b.tag in ("p", "pre", "blockquote") else 0.0)
-            + (0.6 if b.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and b.good else 0.0)
+    words, h = b.text.count(" ") + 1, b.holder
+    return (-1.2 + 0.9 * math.log1p(words) - 5.0 * b.linked - 10.0 * min(h.bad, 2) + 4.0 * min(h.good, 1)
+            + (0.8 if h.tag in ("p", "pre", "blockquote") else 0.0)
+            + (0.6 if h.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and h.good else 0.0)
             + (0.5 if b.text[-1] in ".!?:\"'”…)" else 0.0))
 
 
-def _near(a: tuple, b: tuple) -> int:
+def _near(a: Holder, b: Holder) -> int:
     """Steps in the tree between two blocks' holders."""
-    k = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        k += 1
-    return len(a) + len(b) - 2 * k
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.up
+        else:
+            b = b.up
+        steps += 1
+    return steps
 
 
 def min_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -249,8 +269,8 @@ def label(found: list[Block]) -> list[bool]:
     edges, last = [], {}
     for i, b in enumerate(found):
         if i:
-            edges.append((i - 1, i, 1.6 / (1 + _near(found[i - 1].path, b.path))))
-        parent = b.path[:-1]
+            edges.append((i - 1, i, 1.6 / (1 + _near(found[i - 1].holder, b.holder))))
+        parent = id(b.holder.up or b.holder)
         before = last.get(parent)
         if before is not None and before < i - 1:
             edges.append((before, i, 0.6))

@@ -190,6 +190,18 @@ OTHER = """<body><div id="wrapper" class="has-sidebar"><div class="top-bar">Call
 <div id="footer"><p>All rights reserved by the company that runs this site.</p></div></body>"""
 
 
+def test_main_text_of_odd_tags():
+    long = "Some text stands here, and it is long enough."
+    for page in (f"""<article><p class="x"">{long}</p><div class="y">{long}</div></article>""",
+                 f"<article><p title=don't>{long}</p><p>{long}</p></article>",
+                 f"""<article><p title="a > b">{long}</p><p>{long}</article>""",
+                 f"""<article></i></nav><p>{long}</p></b><p title = 'it"s'>{long}"""):
+        assert maintext.main_text(page) == f"{long}\n\n{long}"
+    deep = maintext.main_text("<div>Words and words. " * 50000)       # no tag is ever closed
+    assert deep.count("Words and words.") == 50000
+    assert maintext.main_text("<font>" * 50000 + f"<p>{long}</p></b>" * 5000).count(long) == 5000
+
+
 def test_main_text_without_article_tags():
     assert maintext.main_text(OTHER).split("\n\n") == [
         "Plain title", "A first paragraph of the story, with some words in it.", "Part", "Short.", "Cell one", "Cell two",
