@@ -11,8 +11,8 @@ and each block's automaton is built once per Python worker. Results of several b
 merged per document.
 
 Defined cases: null has no words; an item without words has no window; items that repeat count
-once per item_id; rows without a doc_id are scanned like any other when there is one block
-(several blocks are merged by doc_id and text). An empty table on either side is fine.
+once per item_id; rows without a doc_id are scanned like any other, rows that share a doc_id each
+by its own text. An empty table on either side is fine.
 """
 
 from __future__ import annotations
@@ -77,13 +77,18 @@ class Windows:
 SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
 
+def _automaton(shared, window: int) -> Windows:
+    """The automaton of a block of items, built once per Python worker."""
+    key = id(shared.value)
+    if key not in _built:
+        _built.clear()
+        _built[key] = (Windows(shared.value, window), shared.value)
+    return _built[key][0]
+
+
 def _scanner(shared, window: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = id(shared.value)
-        if key not in _built:
-            _built.clear()
-            _built[key] = (Windows(shared.value, window), shared.value)
-        windows = _built[key][0]
+        windows = _automaton(shared, window)
         for batch in T.slices(batches, "text"):
             data, off = T.buffer(batch.column("text"))
             h, text, begin, end = T.words(data, off)
@@ -133,23 +138,30 @@ OUT = ("doc_id long, th long, n_words long, n_hit long,"
        " spans array<struct<begin: int, end: int>>, items array<long>")
 
 
+def _blocks(items: DataFrame, block_bytes: int) -> list:
+    """The items as broadcasts, each block's share bounded by block_bytes."""
+    bench = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
+        "item_id IS NOT NULL AND text IS NOT NULL")
+    size = bench.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+    n = 1 + size // block_bytes
+    shares = [bench.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b) if n > 1 else bench for b in range(n)]
+    sc = items.sparkSession.sparkContext
+    return [sc.broadcast([(r.item_id, r.text) for r in share.toLocalIterator()]) for share in shares]
+
+
 def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit, spans in the original text, items found."""
-    spark = docs.sparkSession
+    return _found(docs, _blocks(items, block_bytes), window).drop("th")
+
+
+def _found(docs: DataFrame, blocks: list, window: int) -> DataFrame:
+    """``find_items`` with th, a hash of the text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.xxhash64("text").alias("th"))
-    bench = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
-        "item_id IS NOT NULL AND text IS NOT NULL")
-    size = bench.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    blocks = 1 + size // block_bytes
-    parts = []
-    for b in range(blocks):       # each block's share of the items is bounded by block_bytes
-        share = bench.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b) if blocks > 1 else bench
-        held = spark.sparkContext.broadcast([(r.item_id, r.text) for r in share.toLocalIterator()])
-        parts.append(rows.mapInArrow(_scanner(held, window), OUT))
-    if blocks == 1:
-        return parts[0].drop("th")
+    parts = [rows.mapInArrow(_scanner(held, window), OUT) for held in blocks]
+    if len(parts) == 1:
+        return parts[0]
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
@@ -159,7 +171,7 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     joined = rows.alias("r").join(
         found.alias("f"), F.expr("r.doc_id <=> f.doc_id AND r.th <=> f.th")).selectExpr(
         "r.doc_id", "r.text", "r.th", "f.n_words", "f.spans", "f.items")
-    return joined.mapInArrow(_merge, OUT).drop("th")
+    return joined.mapInArrow(_merge, OUT)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -170,10 +182,29 @@ def digest(found: DataFrame) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs without the rows whose text holds a window of an item."""
-    hit = find_items(docs, items).where("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
+def _clean(shared, window: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = _automaton(shared, window)
+        for batch in T.slices(batches, "text"):
+            h, text, _, _ = T.words(*T.buffer(batch.column("text")))
+            hit, _ = windows.scan(h, text)
+            clean = np.bincount(text[hit], minlength=batch.num_rows) == 0
+            if clean.any():
+                yield batch.filter(pa.array(clean))
+    return run
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs without the rows whose text holds a window of an item, with or without a doc_id; the
+    texts stay where they are when the items are one block."""
+    blocks = _blocks(items, block_bytes)
+    if len(blocks) == 1:
+        return docs.mapInArrow(_clean(blocks[0], window), docs.schema)
+    hit = _found(docs, blocks, window).where("n_hit > 0").select(
+        F.col("doc_id").alias("_hit"), F.col("th").alias("_th")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_hit"])
+                     & (F.xxhash64(docs["text"]) == hit["_th"]), "left_anti")
 
 
 SQL = """

@@ -17,6 +17,7 @@ bitmap of its own text. An empty table gives no bitmap. Only doc_id and text are
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -207,12 +208,12 @@ def line_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         _bitmap, "doc_id long, th long, n_lines long, n_dropped long, keep binary")
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The rows of docs with the column keep_map; null where every line stays."""
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, name: str = "keep_map") -> DataFrame:
+    """The rows of docs with a last column ``name``; null where every line stays."""
     b = bitmaps.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"),
-                       F.col("keep").alias("keep_map"))
+                       F.col("keep").alias(name))
     return (docs.join(b, (docs["doc_id"] == b["_id"]) & (F.xxhash64(docs["text"]) == b["_th"]), "left")
-            .drop("_id", "_th"))
+            .select(docs["*"], b[name]))
 
 
 def kept_text(text: str | None, keep: bytes | None) -> str:
@@ -252,17 +253,19 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
 
 def _rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = batch.schema.get_field_index("text")
-        keep = batch.column("keep_map")
+        names = batch.schema.names[:-1]                  # the last column is the map
+        at, keep = names.index("text"), batch.column(len(names))
         out = [None if t is None else kept_text(t, k)
                for t, k in zip(batch.column(at).to_pylist(), keep.to_pylist())]
-        batch = batch.set_column(at, pa.field("text", pa.string()), pa.array(out, pa.string()))
-        yield batch.drop_columns(["keep_map"])
+        columns = batch.columns[:-1]
+        columns[at] = pa.array(out, pa.string())
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def without_repeats(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """docs with the repeated lines gone from text; every row and column stays."""
-    joined = with_bitmaps(docs, line_bitmaps(docs, min_chars, min_docs))
+    fresh = f"keep_{uuid.uuid4().hex}"                   # docs may have any names
+    joined = with_bitmaps(docs, line_bitmaps(docs, min_chars, min_docs), fresh)
     return joined.mapInArrow(_rewrite, docs.schema)
 
 

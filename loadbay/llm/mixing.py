@@ -14,11 +14,14 @@ Targets default to the observed shares raised to a power below one (flattened) a
 Defined cases: a null source or language is a category of its own, ``(none)``; null and empty
 texts have no token and take the factor of their cell, or 1 where the cell has no token at all;
 rows without a doc_id are decided by a hash of the text; repeated rows share a decision; an
-empty table gives an empty one.
+empty table gives an empty one. Columns of the input named mix_topic, mix_prob or mix_weight are
+replaced; all others stay, whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +32,8 @@ ROUNDS = 40
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.9}
 RATE = 0.5
 NONE = "(none)"
+WORKING = {"_source", "_lang", "_topic", "_tokens", "_u", "_mix_source", "_mix_lang", "_mix_topic", "_mix_factor"}
+ADDED = {"mix_topic", "mix_prob", "mix_weight"}
 # What a text is about, by what stands in it; the first that holds.
 TOPICS = [("legal", "(?i)licen[sc]e|copyright"), ("contact", "@|https?://"), ("tables", r"\|"),
           ("figures", "[0-9]{3}"), ("prose", "")]
@@ -111,7 +116,9 @@ def rake(cells: DataFrame, powers: dict[str, float] = POWERS, rounds: int = ROUN
 def mixed(docs: DataFrame, powers: dict[str, float] = POWERS, rate: float = RATE,
           rounds: int = ROUNDS) -> DataFrame:
     """The documents kept, with all their columns and mix_topic, mix_prob and mix_weight."""
-    rows = described(docs)
+    names = [c for c in docs.columns if c.lower() not in ADDED]
+    own = {c: f"_{uuid.uuid4().hex}" for c in names if c.lower() in WORKING}
+    rows = described(docs.withColumnsRenamed(own))
     cells = cut(rows.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("w")), "cells")
     factors = cut(rake(cells, powers, rounds).select(
         *[F.col(c).alias(f"_mix{c}") for c in ("_source", "_lang", "_topic")],
@@ -120,7 +127,7 @@ def mixed(docs: DataFrame, powers: dict[str, float] = POWERS, rate: float = RATE
                        & (F.col("_topic") == F.col("_mix_topic")), "left")
     wanted = F.coalesce("_mix_factor", F.lit(1.0)) * F.lit(rate)
     return (joined.where(F.col("_u") < wanted)
-            .select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_topic").alias("mix_topic"),
+            .select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in names], F.col("_topic").alias("mix_topic"),
                     F.round(F.least(wanted, F.lit(1.0)), 6).alias("mix_prob"),
                     F.round(F.greatest(wanted, F.lit(1.0)), 6).alias("mix_weight")))
 

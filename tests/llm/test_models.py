@@ -73,6 +73,12 @@ def test_mixing_takes_nulls_and_clashing_columns(spark, documents):
     got = out.collect()
     assert 60 < len(got) < 160 and all(0 < r.mix_prob <= 1 <= r.mix_weight for r in got)
     assert mixing.mixed(docs.where("false")).count() == 0
+    named = docs.withColumns({c: F.lit("own") for c in ("_source", "_u", "_mix_factor", "mix_topic")})
+    again = mixing.mixed(named)
+    assert again.columns == [*named.columns[:-1], "mix_topic", "mix_prob", "mix_weight"]
+    kept = again.collect()
+    assert all((r._source, r._u, r._mix_factor) == ("own",) * 3 for r in kept)
+    assert sorted((r.doc_id or -1, r.mix_topic) for r in kept) == sorted((r.doc_id or -1, r.mix_topic) for r in got)
 
 
 # language ---------------------------------------------------------------------------------------

@@ -259,6 +259,28 @@ def test_spans_point_into_the_original(spark, documents):
     assert {r.doc_id for r in left.collect()} == {6, None}
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 60])
+def test_leaks_go_by_text_whatever_the_id(spark, documents, block):
+    item = "one two three four five six seven eight nine ten"
+    bench = spark.createDataFrame([(1, item), (2, sentence(random.Random(1), 20))], "item_id long, text string")
+    rows = [(None, f"so {item}"), (None, "clean, without an id"), (7, item), (7, "clean, with the same id"), (8, None)]
+    df = documents(rows).withColumn("_hit", F.lit("own")).withColumn("th", F.lit(1))
+    left = decontaminate.without_leaks(df, bench, block_bytes=block)
+    assert left.columns == df.columns
+    assert sorted([(r.doc_id, r.text, r._hit, r.th) for r in left.collect()], key=repr) == sorted(
+        [(*r, "own", 1) for r in rows if r[1] is None or "clean" in r[1]], key=repr)
+
+
+def test_line_dedup_leaves_clashing_columns(documents):
+    line = "a line that many documents hold, of more than forty characters"
+    df = documents([(i, f"{line}\n{i}") for i in range(6)]).withColumns(
+        {c: F.lit(c) for c in ("keep_map", "_id", "_th", "th", "pos")})
+    got = line_dedup.without_repeats(df)
+    assert got.columns == df.columns
+    assert {(r.text, r.keep_map, r._id, r._th, r.th, r.pos) for r in got.collect()} == {
+        (f"{i}" if i < 5 else f"{line}\n5", "keep_map", "_id", "_th", "th", "pos") for i in range(6)}
+
+
 def test_no_items_or_documents(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_items(documents([(1, "a b")]), none).first().n_hit == 0
