@@ -4,7 +4,7 @@ Candidates are range-partitioned by length, longest first. Queries come in block
 (``BLOCK`` rows), each scanned against every candidate. Vectors are rotated by the right singular
 vectors of a bounded sample, so the first ``HEAD`` coordinates carry most of a product; what the
 others can add is bounded by the lengths of the two remainders (Cauchy-Schwarz). A task walks its
-candidates in chunks by falling length, drops queries whose bound |q||x| is below their twentieth
+candidates in chunks (by falling length within a file, of which it may be dealt several), drops queries whose bound |q||x| is below their twentieth
 best so far, drops pairs whose partial sum plus remainder bound is, and computes the rest exactly
 in integers. The twentieth best starts from the longest candidates of all, scored beforehand. Any
 rotation gives the same results; the sample only decides how much is pruned.
@@ -89,7 +89,7 @@ class Best:
 
 
 def scan(block: dict, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates by falling norm2 in, each query's best among them out."""
+    """Candidates in, by falling norm2 within each file of a task, each query's best among them out."""
     ids, q, qr, k = block["ids"], block["q"], block["qr"], block["k"]
     dim, head = q.shape[1], block["head"]
     q_norm = np.sqrt((q * q).sum(axis=1))
@@ -97,10 +97,9 @@ def scan(block: dict, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBa
     best = Best(block["floor"], k)
     step = max(64, min(1024, (1 << 22) // max(1, len(q))))
     slack = 1e-6 * (1 + q_norm)
-    done = False
     for batch in batches:
-        if done or not batch.num_rows:
-            continue                                         # drain what a shorter tail sends
+        if not batch.num_rows:
+            continue
         x_all = matrix(batch.column("v"), dim)
         x_ids = batch.column("vec_id").to_numpy()
         for i in range(0, len(x_all), step):
@@ -108,8 +107,7 @@ def scan(block: dict, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBa
             top = math.sqrt(float((x * x).sum(axis=1).max()))
             act = np.flatnonzero(q_norm * top + slack >= best.floor)
             if not len(act):
-                done = True                                  # every later one is shorter still
-                break
+                continue                                     # the next file's may be longer again
             xr = x @ block["turn"]
             rest = np.sqrt((xr[:, head:] ** 2).sum(axis=1))
             bound = qr[act, :head] @ xr[:, :head].T + q_rest[act, None] * rest

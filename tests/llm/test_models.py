@@ -49,6 +49,21 @@ def test_search_prunes():
     assert sum(b.num_rows for b in topk.scan(block, iter([batch]))) == 0
 
 
+def test_search_reads_on_after_short_vectors():
+    # one task may be dealt several files: short vectors first, then long ones again
+    import pyarrow as pa
+    rng = np.random.default_rng(2)
+    q = rng.integers(-9, 9, (5, 8)).astype(float)
+    block = {"ids": np.arange(5), "q": q, "qr": q, "turn": np.eye(8), "floor": np.full(5, 50.0), "k": 3, "head": 4}
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(at, at + 200)), pa.array((v * np.ones((200, 8), int)).tolist())],
+                                          ["vec_id", "v"]) for at, v in ((1000, 0), (2000, 1))]
+    batches.append(pa.RecordBatch.from_arrays([pa.array(range(10, 15)), pa.array((9 * q.astype(int)).tolist())],
+                                              ["vec_id", "v"]))
+    got = {(i, v) for b in topk.scan(block, iter(batches))
+           for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    assert {(i, 10 + i) for i in range(5)} <= got
+
+
 # mixing -----------------------------------------------------------------------------------------
 
 def test_raking_meets_the_targets(spark):
