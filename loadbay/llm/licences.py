@@ -111,7 +111,7 @@ RULES = [
     ("All-Rights-Reserved", "<rights>"),
 ]
 # every sentence above holds one of these once normalised
-HINTS = "licen|permission|redistribut|warrant|public domain|rights|without any"
+HINTS = "licen|permission|redistribut|warrant|unencumbered|rights|without any"
 ENDS = r"[.!?:]+(?:[ \t\r]+|$)|[.!?:]*\n"
 WRAPPED = r"[.!?:]+(?:\s+|$)"
 MARK = "\x01"

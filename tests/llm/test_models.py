@@ -274,6 +274,13 @@ def test_licences(documents):
     assert licences.licences(documents(rows).where("false")).count() == 0
 
 
+def test_hints_need_no_space_of_the_raw_text(documents):
+    notice = licences.SENTENCES["unlicense"]
+    rows = [(i, notice.replace("public domain", f"public{gap}domain")) for i, gap in enumerate(("\n", "  ", " \n ", "-"))]
+    got = licences.licences(documents(rows)).collect()
+    assert [r.licenses for r in got] == ["Unlicense"] * 4
+
+
 def test_every_known_sentence_has_a_hint_and_its_own_form():
     import re
     forms = [licences.normal(x) for x in licences.SENTENCES.values()]
