@@ -209,6 +209,34 @@ def test_chains_follow_order_and_gap_costs():
     assert paths[0] == [0, 1] and [2] in paths and [3] in paths
 
 
+def test_passages_joined_by_a_chain_are_reported_apart(documents):
+    rng = random.Random(12)
+    one, two = sentence(rng, 60), sentence(rng, 60)
+    docs = [" ".join([sentence(rng, 30), one, sentence(rng, 60), two, sentence(rng, 30)]) for _ in range(2)]
+    rows = {r.doc_id: r for r in passages.passage_classes(documents(list(enumerate(docs, 1)))).collect()}
+    a, b = (low(t).split(" ") for t in docs)
+    runs = [i for i in range(1, len(a) - 49) if a[i:i + 50] == b[i:i + 50] and a[i - 1:i + 50] != b[i - 1:i + 50]]
+    assert len(runs) == 2 and rows[2].class_id == 1 and rows[2].n_passages == 2 and rows[1].n_links == 1
+    for i, got in zip(runs, rows[2].passages):
+        assert abs(got.begin - i) <= 1 and abs(got.end - got.begin - 60) <= 2 and got.matched >= 60
+
+
+def test_stretches_are_those_of_brute_force():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(rng.integers(1, 60))
+        p, q = (np.cumsum(rng.integers(1, 4, n) * (rng.random(n) < .4) + 1) for _ in range(2))
+
+        def fits(s, e):
+            spans = p[e] - p[s] + 1, q[e] - q[s] + 1
+            return min(spans) >= 10 and e - s + 1 >= .8 * max(spans) - 1e-9
+
+        got = passages.stretches(p, q, 10, .8)
+        assert bool(got) == any(fits(s, e) for s in range(n) for e in range(s, n))
+        assert all(fits(s, e) for s, e in got) and all(x[1] < y[0] for x, y in zip(got, got[1:]))
+
+
 # benchmark windows ------------------------------------------------------------------------------
 
 def plain_hits(docs, items, size=10):
