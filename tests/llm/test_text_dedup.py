@@ -221,6 +221,23 @@ def test_passages_joined_by_a_chain_are_reported_apart(documents):
         assert abs(got.begin - i) <= 1 and abs(got.end - got.begin - 60) <= 2 and got.matched >= 60
 
 
+def test_every_occurrence_of_a_passage_is_reported(spark, documents, settings):
+    settings(shuffle__partitions="3", adaptive__coalescePartitions__enabled="false",
+             execution__arrow__maxRecordsPerBatch="7")
+    rng = random.Random(13)
+    line = sentence(rng, 60)
+    own = " ".join([line, sentence(rng, 40), line, sentence(rng, 40), line])
+    rows = [(1, own), (2, sentence(rng, 20) + " " + own), (3, sentence(rng, 200)), (None, own)]
+    got = {r.doc_id: r for r in passages.passage_classes(documents(rows + rows[:1])).collect()}
+
+    def places(r):
+        return {(s.src, round(s.begin, -1)) for s in r.passages}
+
+    assert places(got[1]) == {(1, 100), (1, 200)} and got[1].n_links == 1 and got[1].n_passages >= 2
+    assert places(got[2]) == {(1, 20), (1, 120), (1, 220)} and (got[2].class_id, got[2].n_links) == (1, 1)
+    assert got[3].passages is None and (got[3].class_id, got[3].n_links, got[3].n_passages) == (3, 0, 0)
+
+
 def test_stretches_are_those_of_brute_force():
     import numpy as np
     rng = np.random.default_rng(4)
