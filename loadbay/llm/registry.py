@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loadbay.llm import (
-    decontaminate, language, licences, line_dedup, maintext, minhash, mixing, passages, topk, toxicity)
+    decontaminate, language, licences, line_dedup, maintext, merkle, minhash, mixing, negatives, passages,
+    tokenfile, topk, toxicity)
 from loadbay.llm.ship import ship
 
 import corpus_pipeline
@@ -58,6 +59,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passage_classes(_t(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_t(spark, sf_dir, "documents"))
+
+
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return tokenfile.token_ids(_t(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(_t(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_line_dedup": op2_line_dedup,
@@ -69,6 +83,9 @@ QUERIES = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_licences": op9_licences,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_ids": op12_token_ids,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
@@ -77,6 +94,8 @@ ORACLE = {
     "op3_mixing": mixing.SQL,
     "op5_decontaminate": decontaminate.SQL,
     "op9_licences": licences.SQL,
+    "op11_merkle_manifest": merkle.SQL,
+    "op13_hard_negatives": negatives.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
