@@ -2,7 +2,7 @@
 
     python -m loadbay prepare   --products A.csv B.csv --workers L1.csv L2.csv --out DIR
     python -m loadbay explore   --prepared DIR --out REPORT_DIR
-    python -m loadbay anonymise --prepared DIR --staging STAGING_DIR
+    python -m loadbay anonymise --prepared DIR
 
 Under spark-submit the master and spark.checkpoint.dir come from the cluster.
 """
@@ -34,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     c = jobs.add_parser("anonymise", help="replace people in both prepared tables")
     c.add_argument("--prepared", required=True)
-    c.add_argument("--staging", required=True)
+    c.add_argument("--staging", help="not used any more: new versions are built beside the old ones")
     c.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     return p
 
@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
         explore.write_report(explore.product_report(p), f"{args.out}/products")
         explore.write_report(explore.worker_report(w), f"{args.out}/workers")
     else:
-        anonymise.run(spark, args.prepared, args.staging, args.format)
+        anonymise.run(spark, args.prepared, args.format)
 
 
 if __name__ == "__main__":

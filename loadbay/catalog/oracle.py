@@ -228,6 +228,19 @@ CTES = {
     SELECT t, nullif(list_reduce([t] || [x.r || chr(1) || x.f FOR x IN names],
                                  lambda acc, x: replace(acc, split_part(x, chr(1), 1), split_part(x, chr(1), 2))), '') AS clean
     FROM texts, scrub_list""",
+    # names inside names, and pseudonyms that are later names
+    "nest": """
+    SELECT real, row_number() OVER (ORDER BY real) - 1 AS position FROM (
+      SELECT real FROM n_map WHERE NOT is_system
+      UNION SELECT substr(real, 1, length(real) - 2) FROM n_map WHERE NOT is_system)""",
+    "nest_list": """
+    SELECT list(a.real || chr(1) || CASE WHEN a.position % 3 <> 2 AND b.real IS NOT NULL THEN b.real
+                                         ELSE 'Alias ' || a.position END ORDER BY a.position) AS pairs
+    FROM nest a LEFT JOIN nest b ON b.position = a.position + 1""",
+    "nest_scrubbed": """
+    SELECT t, nullif(list_reduce([t] || pairs,
+                                 lambda acc, x: replace(acc, split_part(x, chr(1), 1), split_part(x, chr(1), 2))), '') AS clean
+    FROM texts, nest_list""",
 }
 
 _NAMES = re.compile(r"\b(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
@@ -269,11 +282,16 @@ oracle("load_prepared_workers",
 oracle("write_prepared", f"SELECT {P_COLS} FROM p")
 _MASKED = {"employee_name": "n_map.fake", "employee_id": "id_map.fake", "equipment": "eq_map.fake",
            "screen_heading": "h.clean", "json_text": "j.clean"}
-oracle("write_anonymized", f"""
+_JOB = f"""
     SELECT {", ".join(f"{_MASKED.get(c, 'w.' + c)} AS {c}" for c in S.PREPARED_WORKERS.names)}
     FROM w LEFT JOIN n_map ON w.employee_name = n_map.real
       LEFT JOIN id_map ON w.employee_id = id_map.real LEFT JOIN eq_map ON w.equipment = eq_map.real
-      LEFT JOIN scrubbed h ON w.screen_heading = h.t LEFT JOIN scrubbed j ON w.json_text = j.t""")
+      LEFT JOIN scrubbed h ON w.screen_heading = h.t LEFT JOIN scrubbed j ON w.json_text = j.t"""
+oracle("write_anonymized", _JOB)
+oracle("anonymise_job_workers", _JOB)
+oracle("anonymise_job_products", f"""
+    SELECT {", ".join("n_map.fake AS worker" if c == "worker" else f"p.{c}" for c in S.PREPARED_PRODUCTS.names)}
+    FROM p LEFT JOIN n_map ON p.worker = n_map.real""")
 
 # --- cleaning -----------------------------------------------------------------
 oracle("standardize_columns", "SELECT * FROM p_raw")
@@ -707,6 +725,9 @@ oracle("anonymize_products", """
 oracle("scrub_text", """
     SELECT input_date, prompt_date, h.clean AS screen_heading, j.clean AS json_text
     FROM w_clean LEFT JOIN scrubbed h ON screen_heading = h.t LEFT JOIN scrubbed j ON json_text = j.t""")
+oracle("scrub_nested_names", """
+    SELECT input_date, prompt_date, h.clean AS screen_heading, j.clean AS json_text
+    FROM w_clean LEFT JOIN nest_scrubbed h ON screen_heading = h.t LEFT JOIN nest_scrubbed j ON json_text = j.t""")
 oracle("anonymize_workers", """
     SELECT input_date, prompt_date, n_map.fake AS employee_name, id_map.fake AS employee_id,
       eq_map.fake AS equipment, h.clean AS screen_heading, j.clean AS json_text

@@ -21,6 +21,7 @@ from loadbay.operators import anonymize as N
 from loadbay.operators import clean, correlation, datasets, distribution, features
 from loadbay.operators import filters as FL
 from loadbay.operators import sessions, summaries
+from loadbay.operators.ordinals import ordinals
 from loadbay.plans import anonymise, explore, prepare
 from loadbay.session import app_dir, materialized, stage
 from loadbay.sources import prepared, raw
@@ -184,6 +185,27 @@ def _(spark, sf):
     return rounded(prepared.load_workers(spark, path), *RESPONSE_FLOATS)
 
 
+def _job(spark, sf):
+    """The anonymisation job over a published copy of both prepared tables."""
+    def build():
+        root = _folder(spark, sf, "anonymise_job")
+        prepared.publish(spark, root, {"products": P(spark, sf), "workers": W(spark, sf)})
+        anonymise.run(spark, root)
+        return spark.range(0)
+    stage(spark, f"{sf}/anonymise_job", build)
+    return _folder(spark, sf, "anonymise_job")
+
+
+@query("anonymise_job_products")
+def _(spark, sf):
+    return rounded(prepared.load_products(spark, f"{_job(spark, sf)}/products"), "worker_daily_duration_sec")
+
+
+@query("anonymise_job_workers")
+def _(spark, sf):
+    return rounded(prepared.load_workers(spark, f"{_job(spark, sf)}/workers"), *RESPONSE_FLOATS)
+
+
 # --- cleaning and quality -----------------------------------------------------
 
 @query("standardize_columns")
@@ -779,6 +801,23 @@ def _(spark, sf):
     return N.scrub_text(df, maps(spark, sf).names)
 
 
+def nested_people(spark, sf):
+    """The names and their beginnings, two letters short; two of three take the next name as pseudonym."""
+    names = maps(spark, sf).names.where("NOT is_system").select("real")
+    numbered = ordinals(names.unionAll(names.selectExpr("substring(real, 1, length(real) - 2)")).distinct(), "real")
+    after = numbered.select(F.col("real").alias("next"), (F.col("position") - 1).alias("position"))
+    fake = F.when(F.col("position") % 3 != 2, F.col("next"))
+    return numbered.join(after, "position", "left").select(
+        "real", F.coalesce(fake, F.concat(F.lit("Alias "), F.col("position"))).alias("fake"), "position",
+        F.lit(False).alias("is_system"))
+
+
+@query("scrub_nested_names")
+def _(spark, sf):
+    people = stage(spark, f"{sf}/nested_people", lambda: nested_people(spark, sf))
+    return N.scrub_text(W(spark, sf).select("input_date", "prompt_date", "screen_heading", "json_text"), people)
+
+
 @query("anonymize_report")
 def _(spark, sf):
     m = maps(spark, sf)

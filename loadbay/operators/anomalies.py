@@ -31,7 +31,7 @@ def with_day_stats(daily: DataFrame, value: str, by: Sequence[str] = ()) -> Data
 
 def detail_stats(df: DataFrame, value: str):
     """The same struct over detail rows, as a scalar column."""
-    spread = Q.quantiles(Q.counted(df, value), [0.25, 0.75], ["q1", "q3"])
+    spread = Q.quantiles(df, value, [0.25, 0.75], ["q1", "q3"])
     q = spread.select(F.struct("q1", "q3")).scalar()
     moments = (df.agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"))
                  .withColumn("q", q))

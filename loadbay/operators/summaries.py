@@ -23,14 +23,13 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFram
     """count, mean, sample sd, min, quartiles and max, one row per column.
 
     Columns that are absent are skipped. All of them are summarised together:
-    unpivoted, collapsed to value counts, then grouped by feature name.
+    unpivoted, then grouped by feature name.
     """
     present = [c for c in columns if c in df.columns]
     long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in present], "feature", "value")
     moments = (long.where(F.col("value").isNotNull()).groupBy("feature")
                    .agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")))
-    spread = Q.quantiles(Q.counted(long, "value", ["feature"]),
-                         [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["feature"])
+    spread = Q.quantiles(long, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["feature"], Q.FEW)
     r = C.round_half_even
     return (spread.join(moments, "feature")
                   .select("feature", F.col("rows").alias("count"),

@@ -36,10 +36,9 @@ def prepare_workers(raw_log: DataFrame, fmt: str | dict[str, str] | None = None,
 def run(spark: SparkSession, product_paths, worker_paths, out_dir: str,
         raw_format: str = "csv", timestamp_format: str | dict[str, str] | None = None,
         out_format: str = "parquet") -> None:
-    """Read raw files, write ``<out_dir>/products`` and ``<out_dir>/workers``."""
+    """Read raw files, publish ``<out_dir>/products`` and ``<out_dir>/workers`` together."""
     products = raw.load_product_files(spark, product_paths, raw_format)
     workers = raw.load_worker_files(spark, worker_paths, raw_format)
-    prepared.write_prepared(prepare_products(products, timestamp_format, materialized),
-                            f"{out_dir}/products", out_format)
-    prepared.write_prepared(prepare_workers(workers, timestamp_format, staged=materialized),
-                            f"{out_dir}/workers", out_format)
+    prepared.publish(spark, out_dir, {
+        "products": lambda: prepare_products(products, timestamp_format, materialized),
+        "workers": lambda: prepare_workers(workers, timestamp_format, staged=materialized)}, out_format)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loadbay.operators import anonymize as N
 from loadbay.operators.ordinals import ordinals
-from loadbay.operators.terms import find_terms
+from loadbay.operators.terms import anchors, candidates, find_terms
 
 
 def pairs(df):
@@ -125,3 +125,23 @@ def test_no_real_name_survives(spark):
     assert tuple(row) == (40, 0, 30, 30)
     assert N.sample_names(m).count() == 15
     assert out.where(F.col("screen_heading").startswith("Hi ")).count() == 30
+
+
+def test_common_prefix_names_make_few_candidates(spark):
+    """10 000 names of one form: only positions of names that occur are looked at."""
+    names = spark.range(10_000).selectExpr("concat('Employee#', lpad(cast(id AS string), 6, '0')) AS term")
+    texts = spark.range(2_000).selectExpr(
+        "id", "concat('Welcome Employee#', lpad(cast(id * 7 % 3000 AS string), 6, '0'), ', see Employee#',"
+              " lpad(cast(id * 11 % 12000 AS string), 6, '0')) AS t")
+    true = find_terms(texts, names, "id", "t", "term").count()
+    assert true == sum((i * 7 % 3000 < 10_000) + (i * 11 % 12000 < 10_000) - (i * 7 % 3000 == i * 11 % 12000)
+                       for i in range(2_000))
+    assert true <= candidates(texts, names).count() <= 3 * true
+
+
+def test_rarest_substring_is_the_anchor(spark):
+    texts = spark.createDataFrame([(1, "prefix-xyzzyx-1 prefix-plover12 prefix-")], "id long, t string")
+    terms = spark.createDataFrame([("prefix-plover12",), ("prefix-absent12",), ("12",)], "term string")
+    sizes = F.array(F.lit(2), F.lit(8))
+    got = {r.term: (r.gram, r.shift) for r in anchors(texts, terms, sizes).collect()}
+    assert got == {"prefix-plover12": ("prefix-p", 0), "12": ("12", 0)}

@@ -87,6 +87,48 @@ def test_folder_files_keep_their_own_header_label_and_name(spark, tmp_path):
         ("2024-01-31 08:00:00", "2024-05-01 00:00:00"), ("2024-02-01 09:00:00", "2025-06-01 00:00:00")]
 
 
+def jobs_of(spark, group, action):
+    spark.sparkContext.setJobGroup(group, group)
+    out = action()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, jobs
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_jobs_do_not_grow_with_files(spark, tmp_path, fmt):
+    counts = {}
+    for n in (40, 200):
+        folder = tmp_path / f"{fmt}{n}"
+        folder.mkdir()
+        for i in range(n):
+            name = folder / f"f{i:03d}.{fmt}"
+            if fmt == "csv":
+                write_csv(name, ["Employee ID", "Dialog Type"][:1 + i % 2], [[f"E{i}", "x"][:1 + i % 2]])
+            elif fmt == "json":
+                name.write_text('{"Employee ID": "E%d"%s}\n' % (i, ', "Dialog Type": "x"' if i % 2 else ""))
+            else:
+                import pandas as pd
+                pd.DataFrame({"Employee ID": [f"E{i}"], **({"Dialog Type": ["x"]} if i % 2 else {})}).to_parquet(name)
+        df, counts[n] = jobs_of(spark, f"{fmt}-{n}", lambda: raw.load_worker_files(spark, [str(folder)], fmt))
+        rows = df.select("employee_id", "dialog_type", "source_file").collect()
+        assert sorted((r[0], r[1], r[2]) for r in rows) == sorted(
+            (f"E{i}", "x" if i % 2 else None, f"f{i:03d}.{fmt}") for i in range(n))
+    assert counts[200] <= counts[40] <= 12
+
+
+def test_headers_with_quoted_line_breaks_are_compared_whole(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, last in (("a", "SUKL A"), ("b", "SUKL B"), ("c", "SUKL A")):
+        (tmp_path / "in" / f"{name} x.csv").write_text(f'"Extra\nline ""q"" 1","{last}"\nv{name},\n', encoding="utf-8")
+    (tmp_path / "in" / "empty.csv").write_text("")
+    got = raw.exports(spark, str(tmp_path / "in"), "csv")
+    assert [x[2] for x in got] == ['"Extra\nline ""q"" 1","SUKL A"', '"Extra\nline ""q"" 1","SUKL B"', '"Extra\nline ""q"" 1","SUKL A"']
+    df = raw.load_product_files(spark, [str(tmp_path / "in")])
+    assert {(r["source_file"], r["product_label"], r['Extra\nline "q" 1']) for r in df.collect()} == {
+        ("a x.csv", "A", "va"), ("b x.csv", "B", "vb"), ("c x.csv", "A", "vc")}
+
+
 def test_cached_tables_are_read_once_until_reloaded(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([("E1",)], "employee_id string").write.parquet(path)
@@ -118,7 +160,7 @@ def test_whole_pipeline(spark, files, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan
     assert w.agg({"input_date": "max"}).first()[0] == dt.datetime(2024, 1, 1, 8, 10, 0, 250001)
 
-    anonymise.run(spark, out, str(tmp_path / "staging"))
+    anonymise.run(spark, out)
     a, b = prepared.load_products(spark, f"{out}/products"), prepared.load_workers(spark, f"{out}/workers")
     assert (a.count(), b.count()) == (13, 10)
     text = " ".join(map(str, a.collect())) + " ".join(map(str, b.collect()))
@@ -148,6 +190,59 @@ def test_replacing_a_table_that_is_being_read(spark, tmp_path):
         prepared.replace_table(spark.range(1), path, path + "/")
 
 
+def rows_of(spark, out):
+    return [sorted(map(str, load(spark, f"{out}/{name}").collect())) for load, name in
+            ((prepared.load_products, "products"), (prepared.load_workers, "workers"))]
+
+
+@pytest.mark.parametrize("step", ["workers", "pointer"])
+def test_a_failure_between_the_tables_leaves_both_old(spark, files, tmp_path, monkeypatch, step):
+    out = str(tmp_path / "out")
+    prepare.run(spark, *files, out)
+    before = rows_of(spark, out)
+    write, name = prepared.write_prepared, "write_prepared" if step == "workers" else "_point"
+
+    def failing(first, *args):
+        if step == "pointer" or args[0].endswith("/workers"):
+            raise OSError("lost")
+        write(first, *args)
+    with monkeypatch.context() as m:
+        m.setattr(prepared, name, failing)
+        with pytest.raises(OSError, match="lost"):
+            anonymise.run(spark, out)
+    assert rows_of(spark, out) == before
+    assert len(list((tmp_path / "out" / prepared.VERSIONS).iterdir())) <= 1
+    anonymise.run(spark, out)
+    after = rows_of(spark, out)
+    assert [len(x) for x in after] == [len(x) for x in before] and "Worker" not in str(after)
+    # the original rows are gone, and only one version is left
+    kept = [f for f in (tmp_path / "out").rglob("*.parquet")]
+    assert kept and len({f.relative_to(tmp_path / "out").parts[1] for f in kept}) == 1
+    assert not (tmp_path / "out" / "products").exists()
+
+
+def test_publishing_one_table_leaves_the_others(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.range(3).selectExpr("id", "DATE'2024-01-01' AS date")
+    prepared.publish(spark, root, {"a": rows, "b": rows})
+    prepared.publish(spark, root, {"a": spark.read.parquet(prepared.located(spark, f"{root}/a")).where("id > 0")})
+    count = lambda name: spark.read.parquet(prepared.located(spark, f"{root}/{name}")).count()
+    assert (count("a"), count("b")) == (2, 3)
+    prepared.publish(spark, root, {"b": rows.limit(1)}, keep_old=True)
+    assert count("b") == 1 and len(list((tmp_path / prepared.VERSIONS).glob("*/b"))) == 2
+    assert prepared.located(spark, f"{root}/c") == f"{root}/c"
+
+
+def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(3).selectExpr("id", "DATE'2024-01-01' AS date").write.partitionBy("date").parquet(path)
+    rename = prepared._rename
+    monkeypatch.setattr(prepared, "_rename", lambda s, a, b: not a.endswith("/s") and rename(s, a, b))
+    with pytest.raises(OSError):
+        prepared.replace_table(spark.read.parquet(path).where("id = 0"), path, str(tmp_path / "s"))
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_reports_and_pages_run(spark, files, tmp_path):
     prepare.run(spark, *files, str(tmp_path))
     p = prepared.load_products(spark, str(tmp_path / "products"))

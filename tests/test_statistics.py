@@ -29,24 +29,24 @@ def groups():
     return pd.concat([pdf, pd.DataFrame({"g": ["tail", None, "void"], "x": [np.nan, 5.0, np.nan]})])
 
 
-@pytest.mark.parametrize("bins", [1, 16, Q.BINS])
-def test_quantiles_per_group_and_overall(spark, groups, bins):
+@pytest.mark.parametrize("accuracy", [20, 300, Q.ACCURACY])
+def test_quantiles_per_group_and_overall(spark, groups, accuracy):
     probs = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
     names = [f"q{i}" for i in range(len(probs))]
     df = frame(spark, groups, "g string, x double")
-    got = Q.quantiles(Q.counted(df, "x", ["g"]), probs, names, ["g"], bins).toPandas().set_index("g")
+    got = Q.quantiles(df, "x", probs, names, ["g"], accuracy).toPandas().set_index("g")
     want = groups.dropna().groupby("g")["x"].quantile(probs).unstack()
     assert set(got.index) == set(want.index)
     np.testing.assert_allclose(got.loc[want.index, names].to_numpy(), want.to_numpy(), rtol=1e-12)
-    whole = Q.quantiles(Q.counted(df, "x"), probs, names, bins=bins).first()
+    whole = Q.quantiles(df, "x", probs, names, accuracy=accuracy).first()
     np.testing.assert_allclose([whole[n] for n in names], groups["x"].quantile(probs), rtol=1e-12)
-    empty = Q.quantiles(Q.counted(df.where("g = 'void'"), "x"), probs, names).first()
+    empty = Q.quantiles(df.where("g = 'void'"), "x", probs, names).first()
     assert all(v is None for v in empty)
 
 
 def test_known_quartiles(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,), (None,)], "x double")
-    row = Q.quantiles(Q.counted(df, "x"), [0.25, 0.75, 0.99], ["a", "b", "c"]).first()
+    row = Q.quantiles(df, "x", [0.25, 0.75, 0.99], ["a", "b", "c"]).first()
     assert (row.a, row.b) == (1.75, 4.75) and row.c == pytest.approx(9.79)
 
 
@@ -177,13 +177,47 @@ def test_matrix_and_heatmap_are_zero_filled(spark):
     assert len(S.PRODUCT_CORRELATION_SHORT) == 8
 
 
-def test_a_wild_value_leaves_no_hot_bin(spark):
-    df = spark.range(100_000).selectExpr("IF(id = 5, 2.5e11, id / 1e6) x")
-    counts = Q.counted(df, "x")
-    whole = counts.selectExpr("*", "100000L rows", "0D lo", "2.5e11 hi")
-    cells, path = Q.narrowed(whole, [F.lit(49_999), F.lit(74_999)], [])
-    assert cells.groupBy(*path).count().agg(F.max("count")).first()[0] < 100
-    row = Q.quantiles(counts, [0.5, 0.75], ["a", "b"]).first()
+def test_a_wild_value_widens_no_bracket(spark):
+    df = spark.range(100_000).selectExpr("IF(id = 5, 2.5e11, id / 1e6) x").repartition(7)
+    rows = df.select(F.col("x").alias("v"))
+    limits = Q.sketch(rows, [0.5, 0.75], [], 2000)
+    inside = Q.cells(rows, limits, 2, []).where("v IS NOT NULL").count()
+    assert 2 <= inside <= 2 * 100_000 * 12 / 2000
+    row = Q.quantiles(df, "x", [0.5, 0.75], ["a", "b"], accuracy=2000).first()
     values = sorted([i / 1e6 for i in range(100_000) if i != 5] + [2.5e11])
     assert row.hi == 2.5e11 and row.lo == 0.0
     assert row.a == pytest.approx((values[49_999] + values[50_000]) / 2, rel=1e-12)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ranks_lie_in_their_brackets_at_every_size(spark, seed):
+    """Sketches of unlike partitions, ties, and group sizes around the accuracy."""
+    rng = np.random.default_rng(seed)
+    sizes = {"a": 1, "b": 199, "c": 200, "d": 201, "e": 5000, "f": 20_000}
+    pdf = pd.concat([pd.DataFrame({"g": g, "x": np.round(rng.exponential(5, n), int(rng.integers(0, 6)))})
+                     for g, n in sizes.items()])
+    df = spark.createDataFrame(pdf).repartition(5, "x")
+    probs = [0.0, 0.01, 0.25, 0.26, 0.5, 0.99, 1.0]
+    names = [f"q{i}" for i in range(len(probs))]
+    got = Q.quantiles(df, "x", probs, names, ["g"], 200).toPandas().set_index("g")
+    want = pdf.groupby("g")["x"].quantile(probs).unstack()
+    np.testing.assert_allclose(got.loc[want.index, names].to_numpy(), want.to_numpy(), rtol=1e-12)
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_quantiles_take_three_exchanges(spark, groups, by):
+    df = frame(spark, groups, "g string, x double")
+    out = Q.quantiles(df, "x", [0.25, 0.5], ["a", "b"], by)
+    before = df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    subqueries = 1 if not by else 0               # the sketch's own exchange stands in its subquery
+    shuffles = sum("Exchange" in x and "Broadcast" not in x and "Reused" not in x for x in plan.splitlines())
+    assert before <= 1 and shuffles - 1 + subqueries <= 3 + subqueries, plan
+
+
+def test_a_hot_group_is_split_where_rows_meet_limits(spark):
+    df = spark.range(1000).selectExpr("IF(id % 3 = 0, 'hot', cast(id AS string)) g", "cast(id AS double) x")
+    plan = distribution.box_stats(df, "x", ["g"])._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join" in x]
+    assert joins and all("__key" in x for x in joins)
