@@ -1,11 +1,13 @@
 """Licence recognition by known sentences and ordered rules, in DataFrame functions only.
 
-A text is cut into sentences (at line breaks, and at full stops, question and exclamation marks
-before white space), each normalised to lower-case ASCII letters and digits with single spaces.
-Known sentences become identifiers, everything else is dropped, and the sequence of identifiers is
-matched against an ordered list of rules: each rule is a pattern over identifiers, and what a rule
-has matched is used up before the next one looks. Hard-wrapped notices are read a second time with
-line breaks as spaces. Only texts holding one of the words that every known sentence has are cut up.
+A text is cut into pieces (at line breaks, and at full stops, colons, question and exclamation marks
+before white space), each normalised to lower-case ASCII letters and digits with single spaces. The known
+sentences are cut the same way, so a sentence with a colon or an abbreviation inside is a sequence of
+pieces. Pieces become tokens, everything else is dropped, complete sequences become the identifier of their
+sentence, and the identifiers are matched against an ordered list of rules: each rule is a pattern over
+identifiers, and what a rule has matched is used up before the next one looks. Hard-wrapped notices are read a
+second time with line breaks as spaces; there, lines without letters or digits and copyright lines end a
+piece. Only texts holding one of the words that every known sentence has are cut up.
 
 Everything is a narrow transformation: no shuffle, no join, no state.
 
@@ -89,7 +91,7 @@ RULES = [
     ("MIT", "(<mit_title>|<mit_name>)?<mit_grant><mit_notice>"),
     ("BSD-3-Clause", "<bsd_grant><bsd_source><bsd_binary><bsd_names>"),
     ("BSD-2-Clause", "<bsd_grant><bsd_source><bsd_binary>"),
-    ("Apache-2.0", "<apache2_title>?<apache2_notice>(<apache2_copy>)?(<apache2_as_is>)?(<apache2_see>)?"),
+    ("Apache-2.0", "(<apache2_title>)?<apache2_notice>(<apache2_copy>)?(<apache2_as_is>)?(<apache2_see>)?"),
     ("GPL-3.0-or-later", "(<gpl3_title>)?<gpl3_notice>(<gpl_purpose>)?(<gpl_see>)?(<gpl_received>)?"),
     ("GPL-2.0-or-later", "<gpl2_notice>(<gpl_purpose>)?(<gpl_see>)?(<gpl_received>)?"),
     ("ISC", "<isc_grant>"),
@@ -113,21 +115,43 @@ RULES = [
 # every sentence above holds one of these once normalised
 HINTS = "licen|permission|redistribut|warrant|unencumbered|rights|without any"
 ENDS = r"[.!?:]+(?:[ \t\r]+|$)|[.!?:]*\n"
-WRAPPED = r"[.!?:]+(?:\s+|$)"
+WRAPPED = (r"(?:^|\n)[^A-Za-z0-9]*[Cc]opyright[ \t]+(?:\([cC]\)|©|[0-9]{4})[^\n]*|[.!?:]*\n(?:[^A-Za-z0-9\n]*\n)+"
+           r"|[.!?:]+(?:\s+|$)")
 MARK = "\x01"
 
 
-def normal(sentence: str) -> str:
-    return re.sub(r"[^a-z0-9]+", " ", re.sub(r"[.!?:]+(?=\s|$)", "", sentence).lower()).strip()
+def pieces(sentence: str) -> list[str]:
+    """A known sentence cut and normalised as texts are."""
+    cut = re.sub(r"[.!?:]+(?:\s+|$)", MARK, sentence).lower()
+    return [p for p in (x.strip() for x in re.sub(f"[^a-z0-9{MARK}]+", " ", cut).split(MARK)) if p]
+
+
+def _known() -> tuple[dict[str, str], list[tuple[str, str]]]:
+    """Token of every piece, and (sequence of tokens, identifier) of the sentences of several pieces."""
+    tokens, longer = {}, []
+    for name, sentence in SENTENCES.items():
+        parts = pieces(sentence)
+        for n, p in enumerate(parts, 1):
+            tokens.setdefault(p, f"<{name}>" if len(parts) == 1 else f"<{name}.{n}>")
+        if len(parts) > 1:
+            longer.append(("".join(tokens[p] for p in parts), f"<{name}>"))
+    return tokens, longer
+
+
+TOKENS, SEQUENCES = _known()
+PARTIAL = r"<\w+\.\d+>"
 
 
 def _ids(text: Column, ends: str) -> Column:
     """The identifiers of a text's known sentences, in order, as one string of tokens."""
     marked = F.lower(F.regexp_replace(text, ends, MARK))
     plain = F.regexp_replace(marked, f"[^a-z0-9{MARK}]+", " ")
-    known = F.create_map(*[F.lit(v) for i, s in SENTENCES.items() for v in (normal(s), f"<{i}>")])
+    known = F.create_map(*[F.lit(v) for pair in TOKENS.items() for v in pair])
     found = F.transform(F.split(plain, MARK), lambda s: F.try_element_at(known, F.trim(s)))
-    return F.array_join(F.filter(found, lambda s: s.isNotNull()), "")
+    out = F.array_join(F.filter(found, lambda s: s.isNotNull()), "")
+    for sequence, name in SEQUENCES:
+        out = F.replace(out, F.lit(sequence), F.lit(name))
+    return F.regexp_replace(out, PARTIAL, "")
 
 
 def _apply(ids: Column) -> Column:
@@ -164,7 +188,10 @@ def _quoted(s: str) -> str:
 
 
 def _sql() -> str:
-    known = ", ".join(f"({_quoted(normal(s))}, '<{i}>')" for i, s in SENTENCES.items())
+    known = ", ".join(f"({_quoted(p)}, {_quoted(t)})" for p, t in TOKENS.items())
+    seq = "string_agg(id, '' ORDER BY pos)"
+    for sequence, name in SEQUENCES:
+        seq = f"replace({seq}, {_quoted(sequence)}, {_quoted(name)})"
     rules = ", ".join(f"({n}, {_quoted(a)}, {_quoted(p)})" for n, (a, p) in enumerate(RULES))
     return f"""
 WITH RECURSIVE known(s, id) AS (VALUES {known}),
@@ -174,10 +201,10 @@ cuts AS (
   SELECT row_no, way, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM (
     SELECT row_no, way, string_split(regexp_replace(lower(regexp_replace(text, ends, chr(1), 'g')),
                                                     '[^a-z0-9\\x01]+', ' ', 'g'), chr(1)) AS parts
-    FROM d, (VALUES (1, '[.!?:]+(?:[ \\t\\r]+|$)|[.!?:]*\\n'), (2, '[.!?:]+(?:\\s+|$)')) AS e(way, ends)
+    FROM d, (VALUES (1, {_quoted(ENDS)}), (2, {_quoted(WRAPPED)})) AS e(way, ends)
     WHERE text IS NOT NULL)),
 ids AS (
-  SELECT row_no, way, string_agg(id, '' ORDER BY pos) AS seq
+  SELECT row_no, way, regexp_replace({seq}, {_quoted(PARTIAL)}, '', 'g') AS seq
   FROM cuts JOIN known ON trim(part) = s GROUP BY row_no, way),
 run(row_no, way, n, rest, found) AS (
   SELECT row_no, way, 0, seq, CAST([] AS VARCHAR[]) FROM ids

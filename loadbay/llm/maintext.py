@@ -19,6 +19,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +33,7 @@ BLOCK = frozenset(
     " noscript ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # never text, whatever surrounds it
-UNSEEN = frozenset("button datalist head iframe math noscript object option select svg template textarea title".split())
+UNSEEN = frozenset("button datalist head iframe noscript object option select svg template textarea title".split())
 RAW = re.compile(r"</(?:script|style)\s*>", re.I)
 # a new <p>, <li> ... ends an open one of the same group
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"},
@@ -44,24 +45,53 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^<>])*+)>|[^<]+|<", re.S)
 NAMES = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 SPACE = re.compile(r"[\s ]+")
-# words of a class, id or role that mark boilerplate or content
-BAD = re.compile(
-    r"(?:^|(?<!has)(?<!with)(?<!without)(?<!no)(?<!\bin)[^a-z])(?:ads?|advert\w*|adsense|banner|bottom-?bar|breadcrumbs?|byline-?links|comments?|commentlist|consent|"
-    r"cookies?|disqus|donate|footer|foot|gdpr|header|hidden|login|masthead|menu\w*|meta-?bar|modal|nav\w*|newsletter|notice|"
-    r"notification|outbrain|overlay|pager|pagination|paywall|popup|privacy|promo\w*|recommend\w*|related|replies|reply|respond|"
-    r"search\w*|share\w*|sharing|shoutbox|side-?bar\w*|signup|skip|social\w*|sponsor\w*|subscribe|subscription|tags|taboola|"
-    r"tool-?bar|top-?bar|widgets?|contentinfo|complementary|navigation|alert|warning-?box|trending)(?:$|[^a-z])", re.I)
+# Words of a class, id or role: boilerplate wherever they stand, or outside an article only (its own header, a
+# section about privacy); and those that may stand beside them in one name. A name with any other word in it
+# (comments-open, binary-search, elementor-widget, related-work) says nothing.
+STRONG = re.compile(
+    r"ads?|advert\w*|adsense|alert|bottombar|breadcrumbs?|commentlist|comments?|complementary|consent|contentinfo|cookies?|"
+    r"disqus|gdpr|menu\w*|nav|navbar|navigation|newsletter|notice|notification|outbrain|pager|pagination|paywall|popup|promo\w*|"
+    r"recommend(?:ed|ations?)?|related|replies|respond|share\w*|sharing|shoutbox|sidebar\w*|signup|social\w*|sponsor\w*|"
+    r"subscribe|taboola|toolbar|topbar|trending|warningbox")
+WEAK = re.compile(
+    r"banner|bylinelinks|donate|foot|footer|header|hidden|login|masthead|metabar|modal|overlay|privacy|reply|search\w*|skip|"
+    r"subscription|tags|widgets?")
+BESIDE = frozenset(
+    "1 2 3 4 a all and area article articles back bar block blog body bottom box btn button buttons by byline center col"
+    " column container count cta desktop email entry feed fixed follow for form global group holder icons in inline inner"
+    " item items js large latest layout left level line link links list main message meta mid middle mini mobile module more my"
+    " new of on outer page pane panel policy popular post posts primary region right row section secondary side site slot"
+    " small sticky stories story strip sub text the thread title to tool top unit up us user view wrap wrapper zone".split())
 GOOD = re.compile(r"(?:^|[^a-z])(?:article\w*|blog-?post|body-?text|content|entry\w*|main\w*|post|post-?body|story\w*|text)(?:$|[^a-z])", re.I)
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+
+
+@lru_cache(1 << 14)
+def meaning(value: str) -> tuple[bool, bool, bool]:
+    """(strong, weak, good) of a class, id or role."""
+    strong = weak = False
+    for name in value.split():
+        words = [w.lower() for w in WORDS.findall(name)]
+        whole = "".join(words)
+        hits = [bool(STRONG.fullmatch(w)) * 2 or bool(WEAK.fullmatch(w)) for w in (*words, whole)]
+        if any(hits) and (hits[-1] or all(h or w in BESIDE for h, w in zip(hits, words))):
+            strong |= 2 in hits
+            weak |= 2 not in hits
+    return strong, weak, bool(GOOD.search(value))
+
+
 BAD_TAGS = frozenset("nav footer aside form menu dialog fieldset legend".split())
 GOOD_TAGS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LONG = 12                  # words of a text that a weak name around it inside an article does not drop
 
 
 class Holder:
     """A block-level element; its ancestors are reached by ``up``, so pages may nest at any depth."""
-    __slots__ = ("up", "depth", "tag", "bad", "good")
+    __slots__ = ("up", "depth", "tag", "bad", "good", "weak")
 
-    def __init__(self, up, depth, tag, bad, good):
-        self.up, self.depth, self.tag, self.bad, self.good = up, depth, tag, bad, good
+    def __init__(self, up, depth, tag, bad, good, weak):
+        self.up, self.depth, self.tag, self.bad, self.good, self.weak = up, depth, tag, bad, good, weak
 
 
 class Block:
@@ -76,8 +106,8 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
-    # open tags: (name, holder, bad containers, good containers, unseen)
-    stack: list[tuple[str, Holder, int, int, bool]] = [("", Holder(None, 0, "", 0, 0), 0, 0, False)]
+    # open tags: (name, holder, bad containers, good containers, unseen, weak names inside a good one)
+    stack: list[tuple] = [("", Holder(None, 0, "", 0, 0, 0), 0, 0, False, 0)]
     opened: defaultdict[str, int] = defaultdict(int)
     pos, end = 0, len(page)
     in_link = 0
@@ -141,7 +171,7 @@ def blocks(page: str) -> list[Block]:
                     break
         attrs = m.group(3)
         top = stack[-1]
-        bad, good, unseen = top[2], top[3], top[4] or name in UNSEEN
+        bad, good, unseen, weak = top[2], top[3], top[4] or name in UNSEEN, top[5]
         inside = good > 0
         if name in BAD_TAGS or name == "header" and not inside:
             bad += 1
@@ -158,18 +188,22 @@ def blocks(page: str) -> list[Block]:
                     unseen |= key == "hidden" and not value or value.lower() == "true"
                 elif name in ("body", "html"):
                     continue
-                elif hit := BAD.search(value):
-                    # an article's own header holds its title
-                    own = "header" in hit.group().lower() and (inside or GOOD.search(value))
-                    bad += not own
-                elif GOOD.search(value):
-                    good += 1
+                elif name not in HEADINGS:
+                    is_strong, is_weak, is_good = meaning(value)
+                    if is_strong:
+                        bad += 1
+                    elif is_weak and not (inside or is_good):
+                        bad += 1
+                    elif is_weak:
+                        weak += "header" not in value.lower()   # an article's own header holds its title
+                    elif is_good:
+                        good += 1
         if name == "a":
             in_link += 1
         if not attrs.rstrip().endswith("/") or name in BLOCK:
             up = top[1]
-            holder = Holder(up, up.depth + 1, name, bad, good) if name in BLOCK else up
-            stack.append((name, holder, bad, good, unseen))
+            holder = Holder(up, up.depth + 1, name, bad, good, weak) if name in BLOCK else up
+            stack.append((name, holder, bad, good, unseen, weak))
             opened[name] += 1
         elif name == "a":
             in_link -= 1
@@ -180,9 +214,10 @@ def blocks(page: str) -> list[Block]:
 def cost(b: Block) -> float:
     """Linear score of a block; positive speaks for content."""
     words, h = b.text.count(" ") + 1, b.holder
-    return (-1.2 + 0.9 * math.log1p(words) - 5.0 * b.linked - 10.0 * min(h.bad, 2) + 4.0 * min(h.good, 1)
+    bad = min(h.bad, 2) + (h.weak > 0 and h.tag not in HEADINGS and (words < LONG or b.linked > 0.3))
+    return (-1.2 + 0.9 * math.log1p(words) - 5.0 * b.linked - 10.0 * bad + 4.0 * min(h.good, 1)
             + (0.8 if h.tag in ("p", "pre", "blockquote") else 0.0)
-            + (0.6 if h.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and h.good else 0.0)
+            + (0.6 if h.tag in HEADINGS and h.good else 0.0)
             + (0.5 if b.text[-1] in ".!?:\"'”…)" else 0.0))
 
 

@@ -42,7 +42,7 @@ def integers(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     v = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
     return (rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(ok)
             .select("vec_id", v.alias("v"))
-            .withColumn("norm2", F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)))
+            .withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))))
 
 
 def matrix(v: pa.Array, dim: int) -> np.ndarray:

@@ -283,12 +283,49 @@ def test_hints_need_no_space_of_the_raw_text(documents):
 
 def test_every_known_sentence_has_a_hint_and_its_own_form():
     import re
-    forms = [licences.normal(x) for x in licences.SENTENCES.values()]
-    assert len(set(forms)) == len(forms) and all(re.search(licences.HINTS, f) for f in forms)
+    forms = [tuple(licences.pieces(x)) for x in licences.SENTENCES.values()]
+    assert len(set(forms)) == len(forms) and all(re.search(licences.HINTS, " ".join(f)) for f in forms)
     used = set(re.findall(r"<(\w+)>", "".join(p for _, p in licences.RULES)))
     assert used == set(licences.SENTENCES)
 
 
+FORMS = {
+    "plain": lambda t: t,
+    "in a text": lambda t: f"Some words here.\n{t}\nAnd some more words.",
+    "after a sentence": lambda t: f"Some words here. {t}{'' if t[-1] in '.:' else '.'} And more.",
+    "wrapped": lambda t: textwrap.fill(t, 40),
+    "wrapped, behind a copyright line": lambda t: "Copyright (c) 2020 Some One\n" + textwrap.fill(t, 50),
+    "wrapped, behind a paragraph": lambda t: "Copyright 2020 X, all of it\n\n" + textwrap.fill(t, 60) + "\n\nMore words",
+    "comment": lambda t: "#!/bin/sh\n#\n# Copyright (C) 2021 X\n#\n" + textwrap.fill(t, 50, initial_indent="# ", subsequent_indent="# ") + "\n#\n",
+    "block comment": lambda t: "/*\n * (c) X\n *\n" + textwrap.fill(t, 50, initial_indent=" * ", subsequent_indent=" * ") + "\n */",
+    "carriage returns": lambda t: textwrap.fill(t, 45).replace("\n", "\r\n") + "\r\n\r\nMore.",
+}
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_every_known_sentence_is_recognised(documents, form):
+    names = list(licences.SENTENCES)
+    rows = [(i, FORMS[form](licences.SENTENCES[n])) for i, n in enumerate(names)]
+    got = {names[r.doc_id]: r.sentence_ids for r in licences.licences(documents(rows)).collect()}
+    assert got == {n: f"<{n}>" for n in names}
+
+
+@pytest.mark.parametrize("width", [40, 60, 72, 10_000])
+def test_whole_notices_give_their_licence(documents, width):
+    s, w = licences.SENTENCES, lambda t: textwrap.fill(t, width)
+    mit = "\n\n".join(["Copyright (c) 2020 X", w(s["mit_grant"]), w(s["mit_notice"])])
+    apache = "\n\n".join(["Copyright 2020 X", w(s["apache2_notice"] + " " + s["apache2_copy"]), w(s["apache2_as_is"] + " " + s["apache2_see"])])
+    gpl3 = "\n\n".join([w(s["gpl3_notice"]), w(s["gpl_purpose"] + " " + s["gpl_see"]), w(s["gpl_received"])])
+    gpl2 = "\n\n".join([w(s["gpl2_notice"]), w(s["gpl_purpose"] + "  " + s["gpl_see"]), w(s["gpl_received"])])
+    isc = "ISC License\n\nCopyright (c) 2020, X\n\n" + w(s["isc_grant"])
+    bsd = "\n\n".join([w(s["bsd_grant"]), "1. " + w(s["bsd_source"]), "2. " + w(s["bsd_binary"]), "3. " + w(s["bsd_names"])])
+    texts = {"MIT": mit, "Apache-2.0": apache, "GPL-3.0-or-later": gpl3, "GPL-2.0-or-later": gpl2, "ISC": isc,
+             "MPL-2.0": w(s["mpl2_notice"])}
+    rows = list(enumerate([*texts.values(), bsd]))
+    got = {r.doc_id: r.licenses for r in licences.licences(documents(rows)).collect()}
+    assert [got[i] for i, _ in rows[:-1]] == list(texts)
+
+
 # pipeline ---------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark):
