@@ -12,8 +12,8 @@ component of their text, until none can.
 Texts with equal words are one node (copies never meet in pairs). Nodes that share a band meet
 in that band's bucket: every member is checked against the bucket's least member, never all
 against all. Only buckets whose members are then still in different classes are settled
-exactly, in blocks of bounded size (see ``block_links``). A link is an exact multiset
-overlap, sum of minima over sum of maxima, at or above the threshold.
+exactly, in blocks of bounded size and with regard to the classes known so far (see ``block_links``).
+A link is an exact multiset overlap, sum of minima over sum of maxima, at or above the threshold.
 
 Defined cases: texts of fewer than five words are one shingle; texts without words (null and
 empty ones too) are classes of their own; rows without a doc_id come back with a null class;
@@ -22,11 +22,13 @@ rows that share a doc_id are one document. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadbay.llm import tokens as T
@@ -37,7 +39,8 @@ WORDS = 5
 SIMILARITY = 0.8
 COMPONENTS = 96
 ROWS = 4                       # components in a band
-BLOCK = 256                    # texts in a block of the exact comparison
+BLOCK = 1024                   # texts in a block of the exact comparison, at most about ...
+BLOCK_BYTES = 1 << 20          # ... and about so many bytes of text
 U = np.uint64
 
 
@@ -102,8 +105,9 @@ def _sign(size: int, rows: int, k: int):
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(whole[0].view(np.int64)),
                 pa.array(whole[1].view(np.int64)), pa.array(some),
+                pa.array(np.bincount(text, weight, n).astype(np.int64)),
                 pa.ListArray.from_arrays(pa.array(ends * (size // rows)), pa.array(band.reshape(-1)))],
-                ["doc_id", "k1", "k2", "some", "bands"])
+                ["doc_id", "k1", "k2", "some", "size", "bands"])
     return run
 
 
@@ -142,11 +146,11 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, k: int = WORDS,
     doc_id with the same words)."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = cut(base.mapInArrow(
-        _sign(size, rows, k), "doc_id long, k1 long, k2 long, some boolean, bands array<long>"),
+        _sign(size, rows, k), "doc_id long, k1 long, k2 long, some boolean, size long, bands array<long>"),
         "signed")
     usable = signed.where("some AND doc_id IS NOT NULL")
     nodes = cut(usable.groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("rep"), F.min("bands").alias("bands")), "nodes")
+        F.min("doc_id").alias("rep"), F.min("size").alias("size"), F.min("bands").alias("bands")), "nodes")
     members = cut(nodes.select("rep", F.explode("bands").alias("band")), "bands")
     heads = cut(members.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n"))
                 .where("n > 1").drop("n"), "heads")
@@ -162,8 +166,9 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, k: int = WORDS,
         "band", "head", "rep", F.coalesce("label", "rep").alias("label")), "split")
     open_ = (split.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
              .where("lo <> hi").select("band"))
-    rest = cut(split.join(open_, "band", "left_semi").select("rep", "head").distinct(), "rest")
-    links = cut(links.select("a", "b").unionByName(block_links(rest, texts, threshold, k)), "links")
+    rest = cut(split.join(open_, "band", "left_semi").select("rep", "head", "label").distinct(), "rest")
+    sizes = nodes.select(F.col("rep").alias("doc_id"), "size")
+    links = block_links(rest, texts.join(sizes, "doc_id"), links.select("a", "b"), threshold, k)
     labels = components(links)
     classed = (nodes.select("k1", "k2", "rep")
                .join(labels, F.col("rep") == labels["node"], "left").drop("node")
@@ -177,34 +182,83 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, k: int = WORDS,
                     .otherwise(F.col("doc_id")).alias("copy_of")))
 
 
-def block_links(rest: DataFrame, texts: DataFrame, threshold: float, k: int = WORDS,
-                block: int = BLOCK) -> DataFrame:
-    """Links (a, b) among texts whose buckets touch: rest has (rep, head) rows.
+def block_links(rest: DataFrame, texts: DataFrame, links: DataFrame, threshold: float, k: int = WORDS,
+                block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``links`` (a, b) and what else joins classes among texts whose buckets touch.
 
-    Texts connected through buckets form a knot. A knot is dealt into blocks of about ``block``
-    texts and every pair of blocks is one task of bounded size, which computes all overlaps as
-    matrix products and returns only a spanning forest of the links it finds: as many rows as
-    texts, not as pairs.
+    rest: rep, head, label (class by ``links``); texts: doc_id, text, size (shingles with multiplicity).
+    Texts connected through buckets form a knot. Sizes of near copies differ by less than the threshold allows,
+    so a knot is first dealt into steps of that ratio, where only neighbours can hold links, and a step into
+    blocks of bounded size. First every block is settled in itself. Then come rounds: neighbouring blocks in
+    pairs, pairs of pairs, and so on; after each round classes are joined anew, and two blocks meet only if they
+    hold more than one class between them. A task computes all overlaps as matrix products and returns one
+    link for two classes it joins, as few as join them all, none inside a class. So links stay about as many
+    as texts. The work for texts that share buckets without being near copies stays quadratic inside a step
+    and its neighbour (in matrix products, not in rows).
     """
+    rest = cut(rest, "rest")
     knots = cut(components(rest.select(F.col("rep").alias("a"), F.col("head").alias("b"))), "knots")
-    sizes = cut(knots.groupBy("label").agg(F.ceil(F.count("*") / block).cast("long").alias("n_blocks")),
-                "sizes")
-    mine = F.pmod(F.xxhash64("node"), F.col("n_blocks"))
-    dealt = (cut(knots.join(sizes, "label"), "knots").withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-             .select("node", F.col("label").alias("knot"), F.least("mine", "other").alias("i"),
-                     F.greatest("mine", "other").alias("j"), "mine"))
-    rows = dealt.join(texts, dealt["node"] == texts["doc_id"]).select("knot", "i", "j", "mine", "node", "text")
+    label = rest.select(F.col("rep").alias("node"), "label").distinct()
+    unit = max(-math.log(threshold), 1e-6) * (1 + 1e-9)
+    members = cut(
+        knots.withColumnRenamed("label", "knot").join(label, "node")
+        .join(texts.select(F.col("doc_id").alias("node"), "size", F.octet_length("text").alias("bytes")), "node")
+        .withColumn("step", F.floor(F.log("size") / unit).cast("long")), "members")
+    deal = cut(members.groupBy("knot", "step").agg(F.greatest(
+        F.ceil(F.count("*") / block), F.ceil(F.sum("bytes") / block_bytes)).cast("long").alias("n_blocks")), "deal")
+    # blocks of a knot, numbered from its smallest texts up
+    before = Window.partitionBy("knot").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    deal = deal.withColumn("first", F.coalesce(F.sum("n_blocks").over(before), F.lit(0)))
+    dealt = cut(members.join(deal, ["knot", "step"]).select(
+        "node", "knot", "step", "label", (F.col("first") + F.pmod(F.xxhash64("node"), "n_blocks")).alias("block")), "dealt")
+    body = texts.select(F.col("doc_id").alias("_node"), "text")
 
-    def forest(pdf):
-        return _forest(pdf, threshold, k)
-    return rows.groupBy("knot", "i", "j").applyInPandas(forest, "a long, b long")
+    def with_text(df):
+        return df.join(body, F.col("node") == F.col("_node")).drop("_node")
 
+    def settle(found, dealt):
+        """Links with their classes to links and classes of all."""
+        merged = components(found.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        merged = merged.select(F.col("node").alias("_label"), F.col("label").alias("_to"))
+        return cut(dealt.join(merged, F.col("label") == F.col("_label"), "left").select(
+            "node", "knot", "step", "block", F.coalesce("_to", "label").alias("label")), "dealt")
 
-def _forest(pdf, threshold: float, k: int):
+    found = cut(with_text(dealt).groupBy("knot", "block").applyInPandas(
+        lambda pdf: _joined(pdf, None, threshold, k), LINK), "found")
+    links, dealt = [links.select("a", "b"), found.select("a", "b")], settle(found, dealt)
+    most = dealt.agg(F.max("block")).first()[0] or 0
+    for level in range(int(most).bit_length()):
+        blocks = cut(dealt.groupBy("knot", "step", "block").agg(
+            F.min("label").alias("low"), F.max("label").alias("high")), "blocks")
+        other = blocks.select("knot", F.col("step").alias("step_b"), F.col("block").alias("block_b"),
+                              F.col("low").alias("low_b"), F.col("high").alias("high_b"))
+        near = blocks.withColumn("step_b", F.explode(F.array(F.col("step"), F.col("step") + 1)))
+        one, two = F.shiftright("block", level), F.shiftright("block_b", level)
+        pairs = cut(near.join(other, ["knot", "step_b"])
+                    .where((F.col("block") < F.col("block_b")) & (one != two) & (F.shiftright(one, 1) == F.shiftright(two, 1)))
+                    .where(F.least("low", "low_b") < F.greatest("high", "high_b"))
+                    .select("knot", "block", "block_b"), "pairs")
+        sides = pairs.select("*", F.lit(0).alias("side"), F.col("block").alias("mine")).unionByName(
+            pairs.select("*", F.lit(1).alias("side"), F.col("block_b").alias("mine")))
+        rows = with_text(dealt.select("knot", F.col("block").alias("mine"), "node", "label")
+                         .join(sides, ["knot", "mine"]).select("knot", "block", "block_b", "side", "node", "label"))
+        found = cut(rows.groupBy("knot", "block", "block_b").applyInPandas(
+            lambda pdf: _joined(pdf, pdf["side"].to_numpy(), threshold, k), LINK), "found")
+        if not found.isEmpty():
+            links.append(found.select("a", "b"))
+            dealt = settle(found, dealt)
+    return cut(reduce(DataFrame.unionByName, links), "links")
+
+
+LINK = "a long, b long, la long, lb long"
+
+
+def _joined(pdf, side: np.ndarray | None, threshold: float, k: int):
+    """(a, b, and their classes): a link for every two classes (column label) that near copies among the rows join, as few
+    as join them all; with ``side``, only near copies on different sides count."""
     import pandas as pd
     n = len(pdf)
-    node = pdf["node"].to_numpy()
+    node, label = pdf["node"].to_numpy(), pdf["label"].to_numpy()
     batch = pa.RecordBatch.from_arrays([pa.array(pdf["text"], pa.large_string())], ["text"])
     (text, item, weight), _, _ = bags(batch, "text", k)
     # a multiset as a set: occurrence 0, 1, 2 ... of a shingle are different tokens
@@ -212,34 +266,42 @@ def _forest(pdf, threshold: float, k: int):
     nth = np.arange(len(row)) - np.repeat(np.cumsum(weight) - weight, weight)
     token, text = T.mix(item[row] + T.mix(nth.astype(np.uint64))), text[row]
     size = np.bincount(text, minlength=n).astype(np.float64)
-    values, code, times = np.unique(token, return_inverse=True, return_counts=True)
+    _, code, times = np.unique(token, return_inverse=True, return_counts=True)
     wanted = times[code] > 1
     number = np.cumsum(times > 1) - 1
     code, text = number[code[wanted]], text[wanted]
-    shared = np.zeros((n, n), np.float32)
+    one = np.arange(n) if side is None else np.flatnonzero(side == 0)
+    two = one if side is None else np.flatnonzero(side == 1)
+    shared = np.zeros((len(one), len(two)), np.float32)
     order = np.argsort(code, kind="stable")
     code, text = code[order], text[order]
     for begin in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
         lo, hi = np.searchsorted(code, [begin, begin + 4096])
         part = np.zeros((n, 4096), np.float32)
         part[text[lo:hi], code[lo:hi] - begin] = 1
-        shared += part @ part.T
-    total = size[:, None] + size[None, :] - shared
-    near = (shared > 0) & (shared >= threshold * total * (1 - 1e-12))
-    a, b, seen = [], [], np.zeros(n, bool)
-    for root in range(n):
-        if seen[root]:
-            continue
-        seen[root] = True
-        queue = [root]
-        while queue:
-            x = queue.pop()
-            for y in np.flatnonzero(near[x] & ~seen):
-                seen[y] = True
-                queue.append(int(y))
-                a.append(node[x])
-                b.append(node[y])
-    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        shared += part[one] @ part[two].T
+    total = size[one, None] + size[None, two] - shared
+    near = (shared > 0) & (shared >= threshold * total * (1 - 1e-12)) & (label[one, None] != label[None, two])
+    x, y = np.nonzero(near)
+    x, y = one[x], two[y]
+    # one pair of texts for two classes, then as few as join what they join
+    low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+    _, pick = np.unique(np.stack([low, high]), axis=1, return_index=True) if len(x) else (None, np.zeros(0, np.int64))
+    top = {}
+
+    def find(c):
+        while top.get(c, c) != c:
+            top[c] = top.get(top[c], top[c])
+            c = top[c]
+        return c
+    keep = []
+    for i in pick.tolist():
+        p, q = find(int(low[i])), find(int(high[i]))
+        if p != q:
+            top[q] = p
+            keep.append(i)
+    keep = np.array(keep, np.int64)
+    return pd.DataFrame({"a": node[x[keep]], "b": node[y[keep]], "la": low[keep], "lb": high[keep]})
 
 
 def one_per_class(docs: DataFrame, **options) -> DataFrame:

@@ -133,14 +133,37 @@ def test_near_classes_match_all_pairs(documents, near_rows):
     assert [r.class_id for r in got if r.doc_id is None] == [None]
 
 
-def test_knots_are_settled_in_small_blocks(spark, documents, near_rows):
+def settled(spark, rows, **options):
+    """Classes and number of links when all rows are one knot without links."""
+    ids = [(i, min(i for i, _ in rows), i) for i, _ in rows]
+    texts = spark.createDataFrame([(i, t, max(1, len(WORD.findall(low(t))) - 4)) for i, t in rows],
+                                  "doc_id long, text string, size long")
+    links = minhash.block_links(spark.createDataFrame(ids, "rep long, head long, label long"),
+                                texts, spark.createDataFrame([], "a long, b long"), 0.8, **options)
+    return {r.node: r.label for r in minhash.components(links).collect()}, links.count()
+
+
+@pytest.mark.parametrize("options", [{}, {"block": 20}, {"block_bytes": 3000}])
+def test_knots_are_settled_in_blocks(spark, near_rows, options):
     rows = [(i, t) for i, t in dict(near_rows).items() if i is not None and 200 <= i < 330]
-    knot = spark.createDataFrame([(i, 200) for i, _ in rows], "rep long, head long")
-    links = minhash.block_links(knot, documents(rows).select("doc_id", "text"), 0.8, block=20)
-    got = minhash.components(links.select("a", "b")).collect()
-    want = {i: c for i, c in plain_classes(rows).items() if list(plain_classes(rows).values()).count(c) > 1}
-    assert {r.node: r.label for r in got} == want
-    assert links.count() < len(rows) * 20
+    got, links = settled(spark, rows, **options)
+    plain = plain_classes(rows)
+    assert got == {i: c for i, c in plain.items() if list(plain.values()).count(c) > 1}
+    assert links <= 6 * len(rows)          # also in blocks of three texts
+
+
+def test_links_stay_as_many_as_texts(spark):
+    """2000 near copies of a few texts in many blocks: links by texts, not by pairs of blocks."""
+    rng = random.Random(9)
+    bases = [sentence(rng, 60).split(" ") for _ in range(5)]
+    rows = []
+    for i in range(2000):
+        w = list(rng.choice(bases))
+        w[rng.randrange(len(w))] = f"w{i}"
+        rows.append((i, " ".join(w)))
+    got, links = settled(spark, rows, block=64)
+    assert len(got) == 2000 and len(set(got.values())) == 5
+    assert links <= 4 * len(rows)
 
 
 def test_signatures_estimate_weighted_similarity():
@@ -338,3 +361,33 @@ def test_line_sql_agrees_on_strange_rows(documents, line_rows):
     con.register("documents", documents(rows).toPandas())
     assert sorted((tuple(r) for r in con.execute(
         f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({line_dedup.SQL})").fetchall()), key=repr) == plain_lines(rows)
+
+
+def test_texts_that_go_round_make_few_chains(documents):
+    import pyarrow as pa
+    for text in ("the " * 3000, "la le lu " * 1000, "a b c d e f g h i j " * 300):
+        seed, *_ = passages.seeds(*passages.T.buffer(pa.array([text])))
+        assert len(seed) <= 2 * 3000 / passages.ROUND + 10
+    rng = random.Random(3)
+    rows = [(1, sentence(rng, 30) + " the" * 400), (2, "the " * 120 + sentence(rng, 30)), (3, "x " + "the " * 70)]
+    got = passages.passage_classes(documents(rows)).collect()
+    assert {r.doc_id: r.class_id for r in got} == {1: 1, 2: 1, 3: 1}
+    for doc, first, last in ((2, 0, 120), (3, 1, 71)):
+        covered = set()
+        for p in next(r.passages for r in got if r.doc_id == doc):
+            covered |= set(range(p.begin, p.end))
+        assert covered >= set(range(first, last))
+
+
+def test_passages_reach_beyond_the_first_cut(documents, monkeypatch):
+    rng = random.Random(12)
+    long = sentence(rng, 900).split(" ")
+    other = list(long)
+    for k in range(40, 900, 37):
+        other[k] = f"x{k}"
+    rows = [(1, sentence(rng, 60) + " " + " ".join(long) + " " + sentence(rng, 50)),
+            (2, sentence(rng, 20) + " " + " ".join(other) + " " + sentence(rng, 70))]
+    want = sorted(map(tuple, passages.passages(documents(rows)).collect()))
+    monkeypatch.setattr(passages, "PAD", 150)
+    assert sorted(map(tuple, passages.passages(documents(rows)).collect())) == want
+    assert any(r[3] - r[2] > 850 for r in want)
