@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from loadbay import schemas as S
 from loadbay.functions import columns as C
+from loadbay.session import cut
 
 UNDATED_PER_SHARD = 50_000
 NO_PROMPT = 2 ** 62
@@ -93,22 +94,47 @@ def gap_flags(grid: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
                 .withColumn("new_session", F.when(F.col("gap_sec") <= gap_sec, 0).otherwise(1)))
 
 
+def in_ranges(df: DataFrame, *keys: str) -> DataFrame:
+    """df sorted by ``keys`` over range partitions, with ``part`` and ``spot``, which ascend in that order.
+
+    Rows that agree in all keys are spread by a hash of the whole row, so no moment of one employee is a
+    partition of its own. The table is cut: the partitions stay what they are on a retry.
+    """
+    tie = _fingerprint(df)
+    ranged = (df.withColumn("__tie", tie).repartitionByRange(*keys, "__tie")
+                .sortWithinPartitions(*keys, "__tie").drop("__tie")
+                .withColumn("spot", F.monotonically_increasing_id()))
+    return cut(ranged, "ranged").withColumn("part", F.shiftright("spot", 33))
+
+
+def with_previous(ranged: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``name``: the value of the row before, where that row has the same ``key``.
+
+    Inside a partition the row before is found by a window over the partition; the first row takes the
+    last one of the partition before from a table of one row a partition.
+    """
+    inside = Window.partitionBy("part").orderBy("spot")
+    before = F.lag(F.struct(F.col(key).alias("k"), F.col(value).alias("v"))).over(inside)
+    carried = F.lag("last").over(Window.orderBy("part"))          # one row a partition
+    edges = (ranged.groupBy("part").agg(F.max_by(F.struct(F.col(key).alias("k"), F.col(value).alias("v")), "spot").alias("last"))
+                   .select(F.col("part").alias("__part"), carried.alias("__carried")))
+    last = F.coalesce("__before", "__carried")
+    return (ranged.withColumn("__before", before).join(edges, F.col("part") == F.col("__part"))
+            .withColumn(name, F.when(last["k"] == F.col(key), last["v"]))
+            .drop("__before", "__carried", "__part"))
+
+
 def row_gaps(df: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
     """Dated rows with ``previous_input``, ``gap_sec`` and ``new_session``.
 
-    Inside a slot the previous row is found by a window over the slot alone; a slot's first row
-    takes the last input of the slot before.
+    One scan over ranges of (employee, time): however many rows an employee has in a moment, they
+    are spread over partitions and only each partition's last row is carried on.
     """
-    keyed = with_grid_key(df, gap_sec).where(F.col("dated") & F.col("employee_id").isNotNull())
-    before = gap_flags(activity_grid(df, gap_sec).where("dated"), gap_sec).select(
-        *GRID_KEY, F.col("previous_input").alias("slot_before"))
-    inside = Window.partitionBy(*GRID_KEY).orderBy("input_date")
-    return (keyed.withColumn("row_before", F.lag("input_date").over(inside))
-            .join(before, list(GRID_KEY))
-            .withColumn("previous_input", F.coalesce("row_before", "slot_before"))
+    dated = df.where(F.col("input_date").isNotNull() & F.col("employee_id").isNotNull())
+    return (with_previous(in_ranges(dated, "employee_id", "input_date"), "employee_id", "input_date", "previous_input")
             .withColumn("gap_sec", C.seconds_between("previous_input", "input_date"))
             .withColumn("new_session", F.when(F.col("gap_sec") <= gap_sec, 0).otherwise(1))
-            .drop("row_before", "slot_before", *GRID_KEY[1:]))
+            .drop("spot", "part"))
 
 
 def number_grid(grid: DataFrame, gap_sec: int = S.SESSION_GAP_SEC) -> DataFrame:
