@@ -56,9 +56,25 @@ def _gru(gates, U, mask, reverse, keep):
     return out, saved
 
 
-def forward(p, x: np.ndarray, windows: np.ndarray, keep: bool = False):
-    """Logits of windows (steps x count, indices into x; -1 is padding)."""
+def states(p, x: np.ndarray, steps: np.ndarray, direction: str) -> np.ndarray:
+    """Hidden states (steps, count, H) of one direction ("f" or "b") over steps (steps x count)."""
+    at = np.maximum(steps, 0)
+    table = x @ p["W" + direction] + p["b" + direction]
+    return _gru(lambda t: table[at[t]], p["U" + direction], (steps >= 0).astype(np.float32), direction == "b", False)[0]
+
+
+def attended(p, forth: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What attention pooling needs of each step: its score, and its share of the logit."""
+    score = np.tanh(forth @ p["Wa"][:H] + back @ p["Wa"][H:]) @ p["va"]
+    return score, forth @ p["wo"][:H] + back @ p["wo"][H:]
+
+
+def forward(p, x: np.ndarray, windows: np.ndarray, core: slice, keep: bool = False):
+    """Logits of windows (steps x count, indices into x; -1 is padding). Both directions read all steps,
+    attention weighs those of ``core``."""
     mask = (windows >= 0).astype(np.float32)
+    pool = np.zeros_like(mask)
+    pool[core] = mask[core]
     at = np.maximum(windows, 0)
     parts, saved = [], []
     for d in "fb":
@@ -68,8 +84,8 @@ def forward(p, x: np.ndarray, windows: np.ndarray, keep: bool = False):
         saved.append(s)
     h = np.concatenate(parts, axis=2)
     a = np.tanh(h @ p["Wa"])
-    score = np.where(mask > 0, a @ p["va"], -1e9)
-    w = np.exp(score - score.max(axis=0)) * mask
+    score = np.where(pool > 0, a @ p["va"], -1e9)
+    w = np.exp(score - score.max(axis=0)) * pool
     w /= np.maximum(w.sum(axis=0), 1e-9)
     pooled = (w[:, :, None] * h).sum(axis=0)
     logit = pooled @ p["wo"] + p["bo"][0]

@@ -4,8 +4,12 @@ The network (``bigru``) is trained on the driver from a bounded sample of labell
 ``SAMPLE`` toxic and twice as many clean texts, whole texts, rows outside the held-out fifth
 only. A text's label says that some window is toxic, so training alternates between choosing each
 text's highest windows and fitting them, and ends when the loss on training texts set aside no
-longer falls. Executors score every text's windows, ``STEPS`` words long, each half overlapping
-the next.
+longer falls.
+
+Executors score every window of ``STEPS`` words, at every word. The recurrent states do not depend on the
+window: a text is read once in blocks of ``CORE`` words, each direction with ``CONTEXT`` words before its
+block. A window's logit is the attention-weighted mean over its words, so running totals of weights
+and of weighted shares give the logits of all windows at once.
 
 Defined cases: texts without words (null and empty too) are scored as one empty window; rows
 without a doc_id are scored, are not held out and are never learned from; labels that are null are
@@ -27,7 +31,10 @@ from pyspark.sql import functions as F
 from loadbay.llm import bigru
 from loadbay.llm import tokens as T
 
-STEPS, STRIDE = 24, 12
+STEPS = 24                 # words of a window
+CORE, CONTEXT = 40, 8      # words of a block, and words read before it in either direction
+APART = 12                 # windows chosen in training lie in different stretches of so many words
+LIMIT = 12.0               # of an attention score, so that running totals stay exact enough
 SAMPLE = 800
 FOLDS, HELD_OUT = 5, 0
 EPOCHS = 8
@@ -41,16 +48,9 @@ def fold(doc_id, folds: int):
     return F.pmod(F.crc32(F.col(doc_id).cast("long").cast("string").cast("binary")), F.lit(folds))
 
 
-def windows(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, first word within the text) of every window; one for a text without words."""
-    count = 1 + np.maximum(0, -(-(n_words - STEPS) // STRIDE))
-    text = np.repeat(np.arange(len(n_words)), count)
-    nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    return text, nth * STRIDE
-
-
 def encode(texts: pa.Array):
-    """Distinct words of a slice with their buckets, and the windows as (steps x count)."""
+    """Distinct words of a slice with their buckets and trigrams, the words of all texts as numbers of these,
+    and where each text begins."""
     data, off = T.buffer(texts)
     h, text, begin, end = T.words(data, off)
     values, where, code = np.unique(h, return_index=True, return_inverse=True)
@@ -63,21 +63,52 @@ def encode(texts: pa.Array):
     last = np.repeat(e, size) == at + 1
     gram = T.mix(np.where(first, U(0), low[at - 1]) << U(20) | low[at] << U(10) | np.where(last, U(0), low[at + 1]))
     starts = np.searchsorted(text, np.arange(len(texts) + 1))
+    return (values % U(bigru.WORDS)).astype(np.int64), (gram % U(bigru.GRAMS)).astype(np.int64), bounds, code, starts
+
+
+def sequences(code: np.ndarray, starts: np.ndarray, owner: np.ndarray, first: np.ndarray, steps: int) -> np.ndarray:
+    """(steps x count) numbers of the words from ``first`` on of each owner; -1 outside the text."""
+    at = first[None, :] + np.arange(steps)[:, None]
+    inside = (at >= 0) & (at < np.diff(starts)[owner][None, :])
+    out = np.full(at.shape, -1, np.int32)
+    out[inside] = code[(at + starts[owner][None, :])[inside]]
+    return out
+
+
+def scan(p, x: np.ndarray, code: np.ndarray, starts: np.ndarray, batch: int = 4096):
+    """(text, first word, logit) of every window of every text; one window for a text without words."""
     n_words = np.diff(starts)
-    owner, shift = windows(n_words)
-    step = shift[None, :] + np.arange(STEPS)[:, None]
-    inside = step < n_words[owner][None, :]
-    win = np.full(step.shape, -1, np.int32)
-    win[inside] = code[(step + starts[owner][None, :])[inside]]
-    return (values % U(bigru.WORDS)).astype(np.int64), (gram % U(bigru.GRAMS)).astype(np.int64), bounds, owner, win
+    blocks = -(-n_words // CORE)
+    owner = np.repeat(np.arange(len(n_words)), blocks)
+    first = (np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * CORE
+    weight, share = np.zeros(len(code)), np.zeros(len(code))
+    for i in range(0, len(owner), batch):
+        o, f = owner[i:i + batch], first[i:i + batch]
+        forth = bigru.states(p, x, sequences(code, starts, o, f - CONTEXT, CORE + CONTEXT), "f")[CONTEXT:]
+        back = bigru.states(p, x, sequences(code, starts, o, f, CORE + CONTEXT), "b")[:CORE]
+        score, part = bigru.attended(p, forth, back)
+        at = f[None, :] + np.arange(CORE)[:, None]
+        inside = at < n_words[o][None, :]
+        place = (at + starts[o][None, :])[inside]
+        weight[place], share[place] = np.exp(np.clip(score[inside], -LIMIT, LIMIT)), part[inside]
+    total = np.r_[0.0, np.cumsum(weight)]
+    above = np.r_[0.0, np.cumsum(weight * share)]
+    count = np.maximum(n_words - STEPS + 1, 1)
+    text = np.repeat(np.arange(len(n_words)), count)
+    begin = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    low = starts[text] + begin
+    high = np.minimum(low + STEPS, starts[text + 1])
+    mass = total[high] - total[low]
+    logit = np.where(mass > 0, (above[high] - above[low]) / np.where(mass > 0, mass, 1), 0.0) + float(p["bo"][0])
+    return text, begin, logit
 
 
-def logits(p, texts: pa.Array, batch: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+def logits(p, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(text, logit) of every window."""
-    word, gram, bounds, owner, win = encode(texts)
+    word, gram, bounds, code, starts = encode(texts)
     x = bigru.embed(p, word, gram, bounds) if len(word) else np.zeros((1, bigru.DW + bigru.DC), np.float32)
-    out = [bigru.forward(p, x, win[:, i:i + batch]) for i in range(0, win.shape[1], batch)]
-    return owner, np.concatenate(out) if out else np.zeros(0, np.float32)
+    text, _, logit = scan(p, x, code, starts)
+    return text, logit
 
 
 def highest(owner: np.ndarray, logit: np.ndarray, n: int) -> np.ndarray:
@@ -93,23 +124,22 @@ def gathered(texts: list[str], y: np.ndarray, piece: int = 1 << 20):
     whole = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
     first = 0
     for batch in T.slices([whole], "text", piece):
-        word, gram, bounds, owner, win = encode(batch.column("text"))
-        used = win >= 0
-        pairs = np.unique(owner[np.nonzero(used)[1]] * np.int64(max(len(word), 1)) + win[used])
+        word, gram, bounds, code, starts = encode(batch.column("text"))
+        pairs = np.unique(np.repeat(np.arange(batch.num_rows), np.diff(starts)) * np.int64(max(len(word), 1)) + code)
         t, c = pairs // max(len(word), 1), pairs % max(len(word), 1)
         size = np.diff(bounds)[c]
         flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(bounds[c], size)
-        for n, code, text in ((bigru.WORDS, word[c], t), (bigru.GRAMS, gram[flat], np.repeat(t, size))):
-            seen = np.unique(text * n + code)
+        for n, bucket, text in ((bigru.WORDS, word[c], t), (bigru.GRAMS, gram[flat], np.repeat(t, size))):
+            seen = np.unique(text * n + bucket)
             toxic = y[first + seen // n]
             counts[n] += [np.bincount(seen % n, toxic, n), np.bincount(seen % n, 1 - toxic, n)]
-        parts.append((word, gram, bounds, owner + first, win))
+        parts.append((word, gram, bounds, code, np.diff(starts)))
         first += batch.num_rows
     # a word is its bucket and its trigrams
     numbers: dict[tuple, int] = {}
-    words, grams, wins, owners = [], [], [], []
-    for word, gram, bounds, owner, win in parts:
-        code = np.full(len(word) + 1, -1, np.int32)
+    words, grams, codes, sizes = [], [], [], []
+    for word, gram, bounds, local, n_words in parts:
+        code = np.zeros(len(word), np.int64)
         for i, w in enumerate(word.tolist()):
             g = gram[bounds[i]:bounds[i + 1]]
             key = (w, g.tobytes())
@@ -118,12 +148,12 @@ def gathered(texts: list[str], y: np.ndarray, piece: int = 1 << 20):
                 words.append(w)
                 grams.append(g)
             code[i] = numbers[key]
-        wins.append(code[win])
-        owners.append(owner)
+        codes.append(code[local])
+        sizes.append(n_words)
     bounds = np.r_[0, np.cumsum([len(g) for g in grams])].astype(np.int64)
     odds = [np.log((c[0] + 2) / (y.sum() + 4)) - np.log((c[1] + 2) / ((1 - y).sum() + 4)) for c in counts.values()]
     return (np.array(words, np.int64), np.concatenate(grams) if grams else np.zeros(0, np.int64), bounds,
-            np.concatenate(owners), np.concatenate(wins, axis=1), odds)
+            np.concatenate(codes), np.r_[0, np.cumsum(np.concatenate(sizes))].astype(np.int64), odds)
 
 
 def _calibrated(best: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
@@ -155,26 +185,33 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     held = aside if aside.any() else ~aside
     checked, checked_y = [t for t, c in zip(texts, held) if c], y[held]
     texts, y = [t for t, c in zip(texts, aside) if not c], y[~aside]
-    word, gram, bounds, owner, win, (w_odds, g_odds) = gathered(texts, y)
+    word, gram, bounds, code, starts, (w_odds, g_odds) = gathered(texts, y)
     kept, least, best_at = None, np.inf, 0
     p = bigru.init(seed, w_odds, g_odds)
-    start = np.r_[w_odds[word], -9][win].max(axis=0)   # first choice: the most telling word
     adam, rng = bigru.Adam(p, 0.01), np.random.default_rng(seed)
-    value = start
+    core = slice(CONTEXT, CONTEXT + STEPS)
     for epoch in range(epochs):
         if epoch:
-            x = bigru.embed(p, word, gram, bounds)
-            value = np.concatenate([bigru.forward(p, x, win[:, i:i + 4096]) for i in range(0, win.shape[1], 4096)])
-        order = np.lexsort((-value, owner))
-        first = np.r_[True, owner[order][1:] != owner[order][:-1]]
-        rank = np.arange(len(order)) - np.repeat(np.flatnonzero(first), np.diff(np.r_[np.flatnonzero(first), len(order)]))
+            owner, first, value = scan(p, bigru.embed(p, word, gram, bounds), code, starts)
+        else:                                              # first choice: windows around the most telling words
+            owner = np.repeat(np.arange(len(texts)), np.diff(starts))
+            first = np.maximum(np.arange(len(code)) - starts[owner] - STEPS // 2, 0)
+            value = w_odds[word[code]]
+        order = np.lexsort((-value, first // APART, owner))
+        o, f = owner[order], first[order]
+        peak = order[np.r_[True, (o[1:] != o[:-1]) | (f[1:] // APART != f[:-1] // APART)]] if len(order) else order
+        order = peak[np.lexsort((-value[peak], owner[peak]))]
+        head = np.r_[True, owner[order][1:] != owner[order][:-1]] if len(order) else np.zeros(0, bool)
+        rank = np.arange(len(order)) - np.repeat(np.flatnonzero(head), np.diff(np.r_[np.flatnonzero(head), len(order)]))
         take = order[rank < np.where(y[owner[order]] > 0, 1, 3)]
-        pos, neg = take[y[owner[take]] > 0], take[y[owner[take]] == 0]
-        weight = np.where(y[owner] > 0, 1.0, len(pos) / max(1, len(neg))).astype(np.float32)
+        own, win = owner[take], sequences(code, starts, owner[take], first[take] - CONTEXT, STEPS + 2 * CONTEXT)
+        pos, neg = (y[own] > 0).sum(), (y[own] == 0).sum()
+        weight = np.where(y[own] > 0, 1.0, pos / max(1, neg)).astype(np.float32)
+        turn = np.arange(len(take))
         for _ in range(2):
-            rng.shuffle(take)
-            for i in range(0, len(take), 192):
-                some = take[i:i + 192]
+            rng.shuffle(turn)
+            for i in range(0, len(turn), 192):
+                some = turn[i:i + 192]
                 here, back = np.unique(win[:, some], return_inverse=True)
                 back = back.reshape(win[:, some].shape)
                 shift = int(len(here) > 0 and here[0] < 0)          # padding
@@ -185,8 +222,8 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
                 g_at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(bounds[here], size)
                 part = word[here], gram[g_at], np.r_[0, np.cumsum(size)]
                 x = bigru.embed(p, *part)
-                out, cache = bigru.forward(p, x, local, keep=True)
-                d = (bigru.sigmoid(out) - y[owner[some]]) * weight[some] / len(some)
+                out, cache = bigru.forward(p, x, local, core, keep=True)
+                d = (bigru.sigmoid(out) - y[own[some]]) * weight[some] / len(some)
                 adam.step(p, bigru.backward(p, x, cache, d.astype(np.float32), *part))
         best = []
         for batch in T.slices([pa.RecordBatch.from_arrays([pa.array(checked, pa.large_string())], ["text"])], "text"):

@@ -132,24 +132,45 @@ def test_network_gradient():
     word, gram, bounds = np.array([3, 9, 4]), np.array([1, 2, 3, 1, 5, 6]), np.array([0, 2, 3, 6])
     win, d = np.array([[0, 1], [2, -1], [1, -1]]), np.array([1.0, -2.0])
     x = bigru.embed(p, word, gram, bounds)
-    g = bigru.backward(p, x, bigru.forward(p, x, win, keep=True)[1], d, word, gram, bounds)
+    g = bigru.backward(p, x, bigru.forward(p, x, win, slice(0, 2), keep=True)[1], d, word, gram, bounds)
     for k, v in p.items():
         at = {"Ew": (9, 2), "Ec": (1, 3)}.get(k) or tuple(np.array(v.shape) // 2)
         old, side = v[at], []
         for e in (1e-2, -1e-2):
             v[at] = old + e
-            side.append(bigru.forward(p, bigru.embed(p, word, gram, bounds), win) @ d)
+            side.append(bigru.forward(p, bigru.embed(p, word, gram, bounds), win, slice(0, 2)) @ d)
         v[at] = old
         assert abs((side[0] - side[1]) / 2e-2 - g[k][at]) < 1e-4
 
 
-def test_windows_cover_every_word_twice_inside():
-    for n in (0, 1, 23, 24, 25, 36, 37, 100):
-        text, first = toxicity.windows(np.array([n]))
-        seen = np.zeros(max(n, 1))
-        for f in first:
-            seen[f:f + toxicity.STEPS] += 1
-        assert (seen[:n] > 0).all() and (seen[toxicity.STRIDE:-2 * toxicity.STRIDE or None] >= 1).all()
+def test_every_overlapping_window_is_scored():
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    p = bigru.init(2, rng.normal(size=bigru.WORDS), rng.normal(size=bigru.GRAMS))
+    sizes = [0, 1, 5, 23, 24, 25, 40, 41, 130]
+    texts = [" ".join("".join(rng.choice(list("abcde"), 4)) for _ in range(n)) for n in sizes]
+    word, gram, bounds, code, starts = toxicity.encode(pa.array(texts))
+    x = bigru.embed(p, word, gram, bounds)
+    text, first, logit = toxicity.scan(p, x, code, starts)
+    assert [(text == i).sum() for i in range(len(sizes))] == [max(1, n - toxicity.STEPS + 1) for n in sizes]
+    again = toxicity.scan(p, x, code, starts, batch=1)[2]
+    np.testing.assert_allclose(logit, again, rtol=1e-4, atol=1e-5)
+    for i, n in enumerate(sizes):
+        own = code[starts[i]:starts[i + 1]]
+        score, share = np.zeros(n), np.zeros(n)
+        for k in range(0, n, toxicity.CORE):          # a block alone, with its context
+            lo, hi = max(0, k - toxicity.CONTEXT), min(n, k + toxicity.CORE + toxicity.CONTEXT)
+            end = min(n, k + toxicity.CORE)
+            forth = bigru.states(p, x, own[lo:end, None], "f")[k - lo:, 0]
+            back = bigru.states(p, x, own[k:hi, None], "b")[:end - k, 0]
+            score[k:end], share[k:end] = bigru.attended(p, forth, back)
+        for j, got in zip(first[text == i], logit[text == i]):
+            w = np.exp(score[j:j + toxicity.STEPS])
+            want = (w @ share[j:j + toxicity.STEPS]) / w.sum() if n else 0.0
+            assert got == pytest.approx(want + p["bo"][0], rel=1e-4, abs=1e-5)
+    short = toxicity.sequences(code, starts, np.array([4]), np.array([-toxicity.CONTEXT]), toxicity.STEPS + 2 * toxicity.CONTEXT)
+    core = slice(toxicity.CONTEXT, toxicity.CONTEXT + toxicity.STEPS)
+    assert bigru.forward(p, x, short, core)[0] == pytest.approx(logit[text == 4][0], rel=1e-4)
 
 
 def test_toxic_words_are_learned_and_held_out_rows_found(spark, documents):
