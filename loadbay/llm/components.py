@@ -3,7 +3,7 @@
 Each round every node takes the smallest label among itself and its neighbours, and then the
 label of that label (pointer jumping), so chains shorten geometrically. All steps are
 aggregations with map-side combining and equi-joins; the tables of a round are cut into the
-shared folder.
+shared folder and deleted when the next one stands.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadbay.session import cut
+from loadbay.session import cut, drop_cut
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,6 +23,7 @@ def components(links: DataFrame) -> DataFrame:
     both = cut(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m"))
                  .select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    held = labels
     while True:
         near = (both.join(labels, both["b"] == labels["node"])
                 .groupBy("a").agg(F.min("label").alias("near")))
@@ -33,6 +34,7 @@ def components(links: DataFrame) -> DataFrame:
             "node", F.col("label").alias("old"),
             F.least("step", F.coalesce("top", "step")).alias("label")), "labels")
         changed = jumped.where("old <> label").limit(1).count()
-        labels = jumped.drop("old")
+        drop_cut(held)
+        held, labels = jumped, jumped.drop("old")
         if not changed:
             return labels
