@@ -12,7 +12,7 @@ from __future__ import annotations
 import argparse
 
 from loadbay.plans import anonymise, explore, prepare
-from loadbay.session import build_session
+from loadbay.session import build_session, scratch
 from loadbay.sources import prepared
 
 
@@ -49,16 +49,17 @@ def timestamp_formats(given: list[str]) -> str | dict[str, str] | None:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"loadbay {args.job}", args.master)
-    if args.job == "prepare":
-        prepare.run(spark, args.products, args.workers, args.out, args.raw_format,
-                    timestamp_formats(args.timestamp_format), args.format)
-    elif args.job == "explore":
-        p = prepared.cached(spark, f"{args.prepared}/products", "products", args.format)
-        w = prepared.cached(spark, f"{args.prepared}/workers", "workers", args.format)
-        explore.write_report(explore.product_report(p), f"{args.out}/products")
-        explore.write_report(explore.worker_report(w), f"{args.out}/workers")
-    else:
-        anonymise.run(spark, args.prepared, args.format)
+    with scratch(spark):                 # intermediate tables, name maps among them, go with the job
+        if args.job == "prepare":
+            prepare.run(spark, args.products, args.workers, args.out, args.raw_format,
+                        timestamp_formats(args.timestamp_format), args.format)
+        elif args.job == "explore":
+            p = prepared.cached(spark, f"{args.prepared}/products", "products", args.format)
+            w = prepared.cached(spark, f"{args.prepared}/workers", "workers", args.format)
+            explore.write_report(explore.product_report(p), f"{args.out}/products")
+            explore.write_report(explore.worker_report(w), f"{args.out}/workers")
+        else:
+            anonymise.run(spark, args.prepared, args.format)
 
 
 if __name__ == "__main__":

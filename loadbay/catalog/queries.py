@@ -610,16 +610,22 @@ def _(spark, sf):
     return datasets.daily_quantity(P(spark, sf))
 
 
+def _cells_as_text(df):
+    """For the comparison with SQL: (value, n) as ``value=n`` joined by ``;``."""
+    return df.withColumn("cells", F.array_join(F.transform(
+        "cells", lambda c: F.concat(c["value"], F.lit("="), c["n"].cast("string"))), ";"))
+
+
 @query("process_by_product")
 def _(spark, sf):
     """Products as rows, every process that occurs as a cell."""
-    return datasets.matrix_rows(P(spark, sf), "product_label", "process")
+    return _cells_as_text(datasets.matrix_rows(P(spark, sf), "product_label", "process"))
 
 
 @query("dialog_by_employee")
 def _(spark, sf):
     """Employees as rows, every dialog type that occurs as a cell."""
-    return datasets.matrix_rows(W(spark, sf), "employee_name", "dialog_type")
+    return _cells_as_text(datasets.matrix_rows(W(spark, sf), "employee_name", "dialog_type"))
 
 
 @query("product_split")

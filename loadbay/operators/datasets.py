@@ -44,16 +44,16 @@ def matrix(df: DataFrame, row: str, column: str,
 
 
 def matrix_rows(df: DataFrame, row: str, column: str) -> DataFrame:
-    """The whole zero-filled matrix, one row per value of ``row``: ``cells`` lists every value of
-    ``column`` that occurs anywhere, in order, as ``value=count`` joined by ``;``. The values come
-    from the data (a list of distinct values, as long as a chart's axis), so none is left out."""
+    """The whole zero-filled matrix, one row per value of ``row``: ``cells`` is an array of (value, n)
+    with every value of ``column`` that occurs anywhere, in order. The values come from the data (a
+    list of distinct values, as long as a chart's axis), so none is left out."""
     per = counts(df, row, column, name="n")
     axis = per.agg(F.sort_array(F.collect_set(F.col(column).cast("string")))).scalar()
     grouped = per.groupBy(row).agg(F.map_from_entries(F.collect_list(
         F.struct(F.col(column).cast("string").alias("k"), "n"))).alias("m"))
-    cells = F.transform("axis", lambda v: F.concat(
-        v, F.lit("="), F.coalesce(F.try_element_at("m", v), F.lit(0)).cast("string")))
-    return grouped.withColumn("axis", axis).select(row, F.array_join(cells, ";").alias("cells"))
+    cells = F.transform("axis", lambda v: F.struct(
+        v.alias("value"), F.coalesce(F.try_element_at("m", v), F.lit(0)).alias("n")))
+    return grouped.withColumn("axis", axis).select(row, cells.alias("cells"))
 
 
 def weekday_label(day_of_week: str | Column) -> Column:

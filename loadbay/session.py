@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +46,24 @@ def app_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/loadbay/{spark.sparkContext.applicationId}"
 
 
+_made: list[str] = []
+
+
 def fresh_path(spark: SparkSession, key: str) -> str:
     """A path nobody has written yet, in this application's folder."""
-    return f"{app_dir(spark)}/{key}_{uuid.uuid4().hex}"
+    _made.append(f"{app_dir(spark)}/{key}_{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the intermediate tables made inside it; results must be written by then."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        while len(_made) > before:
+            release(spark, _made.pop())
 
 
 def release(spark: SparkSession, path: str | None = None) -> None:
@@ -66,7 +82,14 @@ def cut(df: DataFrame, key: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, key)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Delete the table that ``cut`` returned, once nothing reads it any more."""
+    release(df.sparkSession, df._cut_path)
 
 
 def materialized(key: str, build: Callable[[], DataFrame]) -> DataFrame:

@@ -105,6 +105,26 @@ def test_sessions_equal_a_row_by_row_walk(spark, gap):
         assert out.count() == len(rows)
 
 
+def test_row_gaps_of_a_busy_moment_are_spread(spark, settings):
+    """80 % of the rows in one half-hour of one employee, many at the very same time."""
+    rng = random.Random(1)
+    rows = [("hot", T0 + dt.timedelta(seconds=rng.randrange(0, 60)), T0, "d", f"x{n}") for n in range(8000)]
+    rows += [(f"e{n % 40}", T0 + dt.timedelta(hours=n), T0, "d", "x") for n in range(1999)] + [(None, T0, T0, "d", "x")]
+    base = features.worker_scalars(worker_rows(spark, rows))
+    settings(adaptive__enabled="false", shuffle__partitions="16")
+    ranged = sessions.in_ranges(base.where("employee_id is not null"), "employee_id", "input_date")
+    sizes = [r["count"] for r in ranged.groupBy("part").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 3 * 9999 / 16
+    got = sorted((r.employee_id, r.input_date, r.previous_input) for r in sessions.row_gaps(base).collect()
+                 if r.previous_input is not None)
+    want, last = [], {}
+    for e, t in sorted((r[0], r[1]) for r in rows if r[0]):
+        if e in last:
+            want.append((e, t, last[e]))
+        last[e] = t
+    assert got == sorted(want)
+
+
 def test_many_undated_rows_of_one_employee_are_numbered_apart(spark):
     rows = [("e", None, T0, "d", f"x{n}") for n in range(500)] + [("e", T0, T0, "d", "x")]
     out = sessions.sessionize(features.worker_scalars(worker_rows(spark, rows)))

@@ -277,3 +277,14 @@ def test_command_line_jobs(spark, files, tmp_path):
     assert back.count() == 10 and back.where("employee_name like 'Worker%'").count() == 0
     with pytest.raises(SystemExit):
         main(["nothing"])
+
+
+def test_intermediate_tables_go_with_their_scope(spark):
+    import os
+    from loadbay.session import cut, fresh_path, scratch
+    kept = cut(spark.range(3))
+    with pytest.raises(KeyError), scratch(spark):
+        inner = cut(spark.range(3))
+        raise KeyError
+    there = lambda df: os.path.exists(df._cut_path.removeprefix("file:"))
+    assert there(kept) and not there(inner) and fresh_path(spark, "x") != fresh_path(spark, "x")

@@ -177,6 +177,12 @@ def test_matrix_and_heatmap_are_zero_filled(spark):
     assert len(S.PRODUCT_CORRELATION_SHORT) == 8
 
 
+def test_matrix_rows_keep_any_value(spark):
+    df = spark.createDataFrame([("a", "x=1;y"), ("a", "x=1;y"), ("a", ""), ("b", "z"), (None, "z"), ("b", None)], "r string, c string")
+    got = {r.r: [tuple(c) for c in r.cells] for r in datasets.matrix_rows(df, "r", "c").collect()}
+    assert got == {"a": [("", 1), ("x=1;y", 2), ("z", 0)], "b": [("", 0), ("x=1;y", 0), ("z", 1)]}
+
+
 def test_a_wild_value_widens_no_bracket(spark):
     df = spark.range(100_000).selectExpr("IF(id = 5, 2.5e11, id / 1e6) x").repartition(7)
     rows = df.select(F.col("x").alias("v"))
