@@ -17,9 +17,11 @@ and one line feed. The function maps n keys onto 0..n-1 without storing them: le
 on a bit of their own take it, the others go on to the next, smaller level; a key's slot is the number
 of bits set before its own. Keyed access is therefore a few bit probes, one fingerprint, one offset.
 
-Encoding cuts a text before each space that a visible character follows; the tokenizer's own pattern
-always splits there, so pieces can be encoded once and looked up afterwards. The pieces kept are bounded
-(``KEPT``); others are encoded again. The ids equal those of the whole text (tested).
+Encoding cuts a text before each space that a visible character follows; the pattern of byte-level
+tokenizers always splits there, so pieces can be encoded once and looked up afterwards. The pieces kept are
+bounded (``KEPT``); others are encoded again. A new piece that is a word of Latin letters, perhaps with marks
+after it, goes to the tokenizer's model at once, without the pattern. The ids equal those of the whole text
+(tested). Tokenizers of another kind encode whole texts.
 
 Defined cases: a null or empty text is the end id alone; rows without a doc_id come first, have no key, and are
 reached by position only; rows that share a doc_id are written next to each other by a hash of their text and
@@ -29,6 +31,7 @@ then by the text, and the key leads to all of them; an empty table gives no rows
 from __future__ import annotations
 
 import array
+import json
 import os
 import re
 import struct
@@ -45,8 +48,8 @@ from loadbay.llm import tokens as T
 from loadbay.session import cut, fresh_path
 
 END = 2
-SEGMENT_BYTES = 16 << 20   # ids of a segment, or one document
-KEPT = 1 << 20             # encoded pieces a worker keeps; decides speed only
+SEGMENT_BYTES = 4 << 20    # ids of a segment, or one document
+KEPT = 500_000             # encoded pieces a worker keeps; decides speed only
 GAMMA = 2.0                # bits a key at each level of the hash function
 MAGIC = b"LBIDSEG1"
 TRAILER = struct.Struct("<8sIIIIQQQ")      # magic, width, documents without key, documents, keys, levels, hash words, ids
@@ -59,6 +62,10 @@ U = np.uint64
 _DARK = r"\s᠎​﻿"
 _RUN = re.compile(f" (?![^{_DARK}])")
 _CUT = re.compile(f" (?=[^{_DARK}])")
+_MARKS = ".,;:!?%&#*()[]{}+=-_/\\|~$@^\""       # no apostrophe, which may begin a word's ending; no <, >
+# the letters that stand for bytes in a byte-level vocabulary: those that print stand for themselves
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTERS = {**{b: b for b in _PRINTED}, **{b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}}
 _coders: dict[tuple, Coder] = {}
 
 
@@ -72,6 +79,12 @@ class Coder:
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else 4
         self.kind = {2: "H", 4: "I"}[self.width]
         self.end = self.pack([end])
+        about = json.loads(self.tokenizer.to_str())
+        split = about["pre_tokenizer"] or {}
+        self.cuts = (about["model"]["type"] == "BPE" and about["normalizer"] is None and split.get("type") == "ByteLevel"
+                     and split.get("use_regex", True) and not split.get("add_prefix_space"))
+        self.model = self.tokenizer.model
+        self.marks: dict[str, bytes] = {}           # runs of marks after a word
         self.inner: dict[str, bytes] = {}           # pieces after a space
         self.heads: dict[str, bytes] = {}           # pieces that begin a text
 
@@ -81,9 +94,28 @@ class Coder:
             out.byteswap()
         return out.tobytes()
 
+    def _word(self, core: str) -> bytes:
+        """Ids of a space and a word of Latin letters."""
+        text = core if core.isascii() else core.encode().decode("latin-1").translate(_LETTERS)
+        return self.pack([t.id for t in self.model.tokenize("\u0120" + text)])
+
     def _new(self, pieces: list[str], lead: str) -> dict[str, bytes]:
-        got = self.tokenizer.encode_batch_fast([lead + p for p in pieces], add_special_tokens=False)
-        return {p: self.pack(e.ids) for p, e in zip(pieces, got)}
+        out: dict[str, bytes] = {}
+        if lead == " ":
+            for p in pieces:
+                core = p.rstrip(_MARKS)
+                if core.isalpha() and max(core) < "\u0250":
+                    ids = self.inner.get(core) or out.get(core) or self._word(core)
+                    if len(core) < len(p):
+                        tail = p[len(core):]
+                        if tail not in self.marks:
+                            self.marks[tail] = self.pack(self.tokenizer.encode(tail, add_special_tokens=False).ids)
+                        ids += self.marks[tail]
+                    out[p] = ids
+        rest = [p for p in pieces if p not in out]
+        got = self.tokenizer.encode_batch_fast([lead + p for p in rest], add_special_tokens=False)
+        out.update((p, self.pack(e.ids)) for p, e in zip(rest, got))
+        return out
 
     def _known(self, kept: dict[str, bytes], pieces: list[list[str]], lead: str) -> list[list[bytes]]:
         rows = [list(map(kept.get, p)) for p in pieces]
@@ -99,6 +131,11 @@ class Coder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text with the end id, packed."""
+        if not self.cuts:
+            got = self.tokenizer.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)
+            return [self.pack(e.ids) + self.end for e in got]
+        if len(self.marks) > KEPT:
+            self.marks.clear()
         cuts = [(_CUT.split(x) if _RUN.search(x) else x.split(" ")) if x else [""] for x in texts]
         heads = self._known(self.heads, [c[:1] for c in cuts], "")
         rest = self._known(self.inner, [c[1:] for c in cuts], " ")

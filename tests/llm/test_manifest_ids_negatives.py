@@ -140,6 +140,13 @@ def test_pieces_give_the_ids_of_the_whole_text():
     assert [unpack(x) for x in tokenfile.Coder(TOKENIZER).encode(texts)] == [plain_ids(t) for t in texts]
 
 
+def test_many_words_at_once():
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abéÄ.#'1<|>日") for _ in range(rng.randint(1, 9))) for _ in range(9000))
+    text += " <|endoftext|> x<|endoftext|>y <|endoftext|>z"
+    assert unpack(tokenfile.Coder(TOKENIZER).encode([text])[0]) == plain_ids(text)
+
+
 def test_pieces_beyond_the_kept_ones(monkeypatch):
     monkeypatch.setattr(tokenfile, "KEPT", 3)
     own = tokenfile.Coder(TOKENIZER)
@@ -147,6 +154,20 @@ def test_pieces_beyond_the_kept_ones(monkeypatch):
     assert len(own.inner) <= 3
 
 
+def test_every_latin_letter_and_mark():
+    letters = [chr(c) for c in range(33, 0x250)]
+    text = " ".join(a + b + c for a, b, c in zip(letters, letters[7:] + letters[:7], letters[90:] + letters[:90]))
+    text += "".join(f" x{m} é{m}{m} don't{m} 's{m} a1{m}" for m in tokenfile._MARKS)
+    assert unpack(tokenfile.Coder(TOKENIZER).encode([text])[0]) == plain_ids(text)
+
+
+def test_other_tokenizers_encode_whole_texts():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    want = [Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids + [2] for t in NASTY]
+    assert [unpack(x) for x in tokenfile.Coder(path).encode(NASTY)] == want
+
+
 def test_other_tokenizer_and_wide_end_id():
     own = tokenfile.Coder(public_tokenizers.path("byte_bpe_50k.json"), end=70_000)
     assert np.frombuffer(own.encode(["a"])[0], "<u4").tolist() == plain_ids("a")[:-1] + [70_000]
