@@ -145,3 +145,14 @@ def test_rarest_substring_is_the_anchor(spark):
     sizes = F.array(F.lit(2), F.lit(8))
     got = {r.term: (r.gram, r.shift) for r in anchors(texts, terms, sizes).collect()}
     assert got == {"prefix-plover12": ("prefix-p", 0), "12": ("12", 0)}
+
+
+def test_names_in_texts_never_pass_the_driver(spark, tmp_path):
+    """Compressed files say little about the rows exploded from them, however small they look."""
+    spark.range(300).selectExpr("concat('Welcome Employee#', lpad(id, 6, '0')) text").write.parquet(f"{tmp_path}/texts")
+    spark.range(200).selectExpr("concat('Employee#', lpad(id, 6, '0')) real").write.parquet(f"{tmp_path}/names")
+    found = find_terms(spark.read.parquet(f"{tmp_path}/texts"), spark.read.parquet(f"{tmp_path}/names"),
+                       "text", "text", "real")
+    assert found.count() == 200
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
