@@ -107,3 +107,18 @@ def test_sentinel_expiration(spark):
     assert tuple(clean.count_sentinel_expiration(typed).first()) == (4, 2)
     kept = values(clean.drop_sentinel_expiration(typed), F.col("expiration"))
     assert kept == [None, None, dt.datetime(2000, 1, 1), None]
+
+
+def test_copies_are_dropped_where_the_rows_lie(spark, tmp_path):
+    """Equal values of different bits and NULLs in different places; rows without a copy are not shuffled."""
+    data = [("a", None, 0.0), ("a", None, -0.0), (None, "a", 0.0), (None, "a", 0.0), (None, None, float("nan")),
+            (None, None, float("nan")), ("b", "b", None)] + [(f"x{i}", "y", 1.0) for i in range(5000)] + [("hot", "", 2.0)] * 3000
+    df = spark.createDataFrame(data, "k string, v string, n double").repartition(7)
+    df.write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    out = clean.drop_duplicate_rows(df)
+    got = out.collect()
+    assert len(got) == 5005 and out.columns == df.columns and out.exceptAll(df.distinct()).count() == 0
+    assert df.exceptAll(out).select("k").distinct().count() == 3          # copies of a, (None, a or NaN), hot
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1                    # that of the rows that have copies
