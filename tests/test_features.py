@@ -212,3 +212,16 @@ def test_sums_of_seconds_do_not_depend_on_order(spark):
     many = spark.range(0, 200_000, 1, 37).selectExpr(f"{big} x").repartition(23)
     a, b = (df.agg(C.sum_seconds("x"), C.mean_seconds("x")).first() for df in (one, many))
     assert a == b and a[0] > 9e9
+
+
+def test_product_rows_move_once_where_the_grid_is_small(spark):
+    """To the worker totals, without the derived columns; the product grid comes to the rows."""
+    df = product_rows(spark, [("a", f"w{i}", "p", i, T0 + dt.timedelta(days=i % 9), 5) for i in range(500)])
+    out = features.product_features(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    physical = out._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan if "Join LeftOuter" in x]) == 2
+    assert physical.count("BroadcastHashJoin") >= 1 and "weekday_name" not in physical[physical.index("Join"):].split(
+        "Exchange", 1)[-1]
+    got = {r.quantity_pcs: (r.daily_product_ops_count, r.worker_daily_qty, r.weekday_name) for r in out.collect()}
+    assert len(got) == 500 and got[9] == (56, 9, "Monday") and got[8] == (55, 8, "Tuesday")
