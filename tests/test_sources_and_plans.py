@@ -288,3 +288,13 @@ def test_intermediate_tables_go_with_their_scope(spark):
         raise KeyError
     there = lambda df: os.path.exists(df._cut_path.removeprefix("file:"))
     assert there(kept) and not there(inner) and fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_prepared_csv_is_compressed_and_exports_are_plain(spark, tmp_path):
+    df = spark.createDataFrame([("Ann", "a\nb")], "worker string, process string")
+    prepared.write_prepared(df, f"{tmp_path}/stage", "csv")
+    prepared.export_csv(df, f"{tmp_path}/export")
+    assert {f.name[-7:] for f in (tmp_path / "stage").glob("part-*")} == {".csv.gz"}
+    assert {f.name[-4:] for f in (tmp_path / "export").glob("part-*")} == {".csv"}
+    back = prepared.load_products(spark, f"{tmp_path}/stage", "csv").select("worker", "process")
+    assert [tuple(r) for r in back.collect()] == [("Ann", "a\nb")]
