@@ -225,3 +225,32 @@ def test_product_rows_move_once_where_the_grid_is_small(spark):
         "Exchange", 1)[-1]
     got = {r.quantity_pcs: (r.daily_product_ops_count, r.worker_daily_qty, r.weekday_name) for r in out.collect()}
     assert len(got) == 500 and got[9] == (56, 9, "Monday") and got[8] == (55, 8, "Tuesday")
+
+
+def busy_worker_rows(spark):
+    rng = random.Random(7)
+    rows = []
+    for n in range(1500):
+        e = None if n % 50 == 0 else "hot" if n % 3 == 0 else f"e{rng.randrange(8)}"
+        t = T0 + dt.timedelta(seconds=rng.choice([0.5, 600, 1800]) * rng.randrange(400))
+        p = None if n % 34 == 0 else t - dt.timedelta(seconds=rng.randrange(-5, 9000))
+        rows.append((e, None if n % 5 == 0 else t, p, None if n % 11 == 0 else f"d{n % 3}", None if n % 13 == 0 else f"v{n % 4}"))
+    return worker_rows(spark, rows + rows[:40])
+
+
+def test_gathered_employees_get_what_joined_ones_get(spark, monkeypatch):
+    df = busy_worker_rows(spark)
+    monkeypatch.setattr(sessions, "UNDATED_PER_SHARD", 60)           # several shards
+    monkeypatch.setattr(sessions.with_grid_key, "__defaults__", (S.SESSION_GAP_SEC, 60, None))
+    joined = sorted(map(repr, features.joined_features(df).select(*S.PREPARED_WORKERS.names).collect()))
+    for hot_rows in (0, 300, 10 ** 6):                               # all, one or none joined
+        out = features.worker_features(df, hot_rows=hot_rows)
+        assert layout(out) == layout(S.PREPARED_WORKERS)
+        assert sorted(map(repr, out.collect())) == joined
+
+
+def test_input_rows_move_once(spark, settings):
+    settings(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    plan = features.worker_features(busy_worker_rows(spark))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if " Exchange " in x and "SinglePartition" not in x]
+    assert len(exchanges) == 1 and "employee_id" in exchanges[0]
