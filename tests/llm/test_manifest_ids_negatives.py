@@ -324,3 +324,24 @@ def test_index_leaves_out_only_what_cannot_reach():
         assert found[exact >= floor[:, None]].all() and found.mean() < 1.05 - quantile + 0.35
         assert sum(len(rows) for _, _, rows, *_ in index.lists) <= 3 * 500
     assert sum((inside != 0).sum() for *_, inside, _, _ in index.lists) < 0.9 * y.size
+
+
+def test_links_of_a_dense_group_are_read_once_not_once_a_round(spark, monkeypatch):
+    from loadbay.llm import components as C
+    rows = []
+
+    def counted(df, key="cut"):
+        out = cut(df, key)
+        rows.append(out.count())
+        return out
+    cut = C.cut
+    monkeypatch.setattr(C, "cut", counted)
+    g = 150
+    dense = [(i, j) for i in range(g) for j in range(i + 1, g)]
+    chain = [(1000 + i, 1001 + i) for i in range(60)]
+    tail = [(g - 1, 1060), (5, 5), (None, 3), (7, 6)]
+    links = spark.createDataFrame(dense + chain + tail, "a long, b long")
+    labels = {r.node: r.label for r in C.components(links).collect()}
+    assert labels == {n: 0 for n in [*range(g), *range(1000, 1061)]}
+    # links in both directions would be twice as many rows; nodes are g + 61
+    assert sum(rows) < len(dense) + 20 * (g + 61)
