@@ -18,9 +18,9 @@ on a bit of their own take it, the others go on to the next, smaller level; a ke
 of bits set before its own. Keyed access is therefore a few bit probes, one fingerprint, one offset.
 
 Encoding cuts a text before each space that a visible character follows; the pattern of byte-level
-tokenizers always splits there, so pieces can be encoded once and looked up afterwards. The pieces kept are
-bounded (``KEPT``); others are encoded again. A new piece that is a word of Latin letters, perhaps with marks
-after it, goes to the tokenizer's model at once, without the pattern. The ids equal those of the whole text
+tokenizers always splits there, so a batch of texts encodes each piece once and lays the ids out by number. Pieces
+found more than once in a batch are kept for later ones, as many as ``KEPT``; others are encoded again. A new piece
+that is a word of Latin letters, perhaps with marks after it, goes to the tokenizer's model at once, without the pattern. The ids equal those of the whole text
 (tested). Tokenizers of another kind encode whole texts.
 
 Defined cases: a null or empty text is the end id alone; rows without a doc_id come first, have no key, and are
@@ -38,9 +38,11 @@ import struct
 import sys
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +51,8 @@ from loadbay.session import cut, fresh_path
 
 END = 2
 SEGMENT_BYTES = 4 << 20    # ids of a segment, or one document
-KEPT = 500_000             # encoded pieces a worker keeps; decides speed only
+BATCH_BYTES = 4 << 20      # of text encoded at once, or one document
+KEPT = 300_000             # encoded pieces a worker keeps; decides speed only
 GAMMA = 2.0                # bits a key at each level of the hash function
 MAGIC = b"LBIDSEG1"
 TRAILER = struct.Struct("<8sIIIIQQQ")      # magic, width, documents without key, documents, keys, levels, hash words, ids
@@ -62,13 +65,19 @@ U = np.uint64
 _DARK = r"\s᠎​﻿"
 _RUN = re.compile(f" (?![^{_DARK}])")
 _CUT = re.compile(f" (?=[^{_DARK}])")
+_LATIN = "^[A-Za-zªµºÀ-ÖØ-öø-\u024f]+$"          # the letters below U+0250
 _MARKS = ".,;:!?%&#*()[]{}+=-_/\\|~$@^\""       # no apostrophe, which may begin a word's ending; no <, >
 # the letters that stand for bytes in a byte-level vocabulary: those that print stand for themselves
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _LETTERS = {**{b: b for b in _PRINTED}, **{b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}}
+_SHOWN = {b: c for b, c in _LETTERS.items() if b != 10}     # of words, one a line
 _coders: dict[tuple, Coder] = {}
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class Coder:
     """Encodes texts with a tokenizer file of the tokenizers library."""
 
@@ -85,8 +94,7 @@ class Coder:
                      and split.get("use_regex", True) and not split.get("add_prefix_space"))
         self.model = self.tokenizer.model
         self.marks: dict[str, bytes] = {}           # runs of marks after a word
-        self.inner: dict[str, bytes] = {}           # pieces after a space
-        self.heads: dict[str, bytes] = {}           # pieces that begin a text
+        self.inner: dict[str, bytes] = {}           # pieces after a space, found more than once in a batch
 
     def pack(self, ids: list[int]) -> bytes:
         out = array.array(self.kind, ids)
@@ -94,52 +102,78 @@ class Coder:
             out.byteswap()
         return out.tobytes()
 
-    def _word(self, core: str) -> bytes:
-        """Ids of a space and a word of Latin letters."""
-        text = core if core.isascii() else core.encode().decode("latin-1").translate(_LETTERS)
-        return self.pack([t.id for t in self.model.tokenize("\u0120" + text)])
-
-    def _new(self, pieces: list[str], lead: str) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
-        if lead == " ":
-            for p in pieces:
-                core = p.rstrip(_MARKS)
-                if core.isalpha() and max(core) < "\u0250":
-                    ids = self.inner.get(core) or out.get(core) or self._word(core)
-                    if len(core) < len(p):
-                        tail = p[len(core):]
-                        if tail not in self.marks:
-                            self.marks[tail] = self.pack(self.tokenizer.encode(tail, add_special_tokens=False).ids)
-                        ids += self.marks[tail]
-                    out[p] = ids
-        rest = [p for p in pieces if p not in out]
-        got = self.tokenizer.encode_batch_fast([lead + p for p in rest], add_special_tokens=False)
-        out.update((p, self.pack(e.ids)) for p, e in zip(rest, got))
-        return out
-
-    def _known(self, kept: dict[str, bytes], pieces: list[list[str]], lead: str) -> list[list[bytes]]:
-        rows = [list(map(kept.get, p)) for p in pieces]
-        lacking = {x for p, r in zip(pieces, rows) if None in r for x, y in zip(p, r) if y is None}
-        if lacking:
-            new = self._new(sorted(lacking), lead)
-            for p, r in zip(pieces, rows):
-                if None in r:
-                    r[:] = [new[x] if y is None else y for x, y in zip(p, r)]
-            if len(kept) + len(new) <= KEPT:
-                kept.update(new)
-        return rows
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters, each with a space before it."""
+        ids: list[int] = []
+        at = [0]
+        shown = "\n ".join(["", *words]).encode().decode("latin-1").translate(_SHOWN).split("\n")[1:]
+        for tokens in map(self.model.tokenize, shown):
+            ids += [t.id for t in tokens]
+            at.append(len(ids) * self.width)
+        raw = self.pack(ids)
+        return [raw[x:y] for x, y in pairwise(at)]
+
+    def _plain(self, pieces: list[str]) -> list[bytes]:
+        return [self.pack(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _inner(self, names: list[str], latin: np.ndarray, times: np.ndarray) -> list[bytes]:
+        """Ids of pieces that stand ``times`` times in a batch, each with a space before it."""
+        found = list(map(self.inner.get, names))
+        lacking = np.flatnonzero((times > 0) & np.fromiter((x is None for x in found), bool, len(found)))
+        for kind, coded in ((True, self._words), (False, lambda pieces: self._plain([" " + p for p in pieces]))):
+            own = lacking[latin[lacking] == kind].tolist()
+            for n, ids in zip(own, coded([names[n] for n in own])):
+                found[n] = ids
+        often = lacking[times[lacking] > 1][:max(0, KEPT - len(self.inner))].tolist()
+        self.inner.update((names[n], found[n]) for n in often)
+        return [x or b"" for x in found]
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Ids of every text with the end id, packed."""
-        if not self.cuts:
-            got = self.tokenizer.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)
-            return [self.pack(e.ids) + self.end for e in got]
+        column = pc.fill_null((texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string()), "")
+        texts = _strings(column)
+        if not texts or not self.cuts:
+            return [ids + self.end for ids in self._plain(texts)]
         if len(self.marks) > KEPT:
             self.marks.clear()
-        cuts = [(_CUT.split(x) if _RUN.search(x) else x.split(" ")) if x else [""] for x in texts]
-        heads = self._known(self.heads, [c[:1] for c in cuts], "")
-        rest = self._known(self.inner, [c[1:] for c in cuts], " ")
-        return [b"".join((*h, *r, self.end)) for h, r in zip(heads, rest)]
+        if any(map(_RUN.search, texts)):
+            cuts = pa.array(map(_CUT.split, texts), pa.list_(pa.large_string()))
+        else:
+            cuts = pc.split_pattern(column, " ")
+        ends = cuts.offsets.to_numpy().astype(np.int64)
+        first = ends[:-1]
+        pieces = cuts.flatten()
+        heads = self._plain(_strings(pieces.take(pa.array(first))))
+        # each distinct piece as a word and the marks after it, or as a whole with no marks
+        pieces = pieces.dictionary_encode()
+        at, whole = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary
+        words = pc.utf8_rtrim(whole, _MARKS)
+        latin = pc.match_substring_regex(words, _LATIN)
+        words = pc.if_else(latin, words, whole).dictionary_encode()
+        word = words.indices.to_numpy().astype(np.int64)
+        marks = (pc.binary_length(whole).to_numpy() - pc.binary_length(words.dictionary).to_numpy()[word])
+        marked = np.flatnonzero(marks)
+        runs = [p[-n:] for p, n in zip(_strings(whole.take(pa.array(marked))), marks[marked].tolist())]
+        number = {run: n for n, run in enumerate(dict.fromkeys(runs), 1)}
+        tail = np.zeros(len(whole), np.int64)
+        tail[marked] = [number[run] for run in runs]
+        lacking = [run for run in number if run not in self.marks]
+        self.marks.update(zip(lacking, self._plain(lacking)))
+        inside = np.ones(len(at), bool)
+        inside[first] = False
+        kinds = np.zeros(len(words.dictionary), bool)
+        kinds[word] = latin.to_numpy(zero_copy_only=False)
+        coded = [*self._inner(_strings(words.dictionary), kinds, np.bincount(word[at[inside]], minlength=len(kinds))),
+                 b"", *map(self.marks.get, number), *heads, self.end]
+        # two of these for each piece, one for each end, in the order of the texts
+        use = np.stack([word[at], len(kinds) + tail[at]], axis=1)
+        use[first] = np.c_[len(kinds) + 1 + len(number) + np.arange(len(texts)), np.full(len(texts), len(kinds))]
+        use = np.insert(use.ravel(), 2 * ends[1:], len(coded) - 1)
+        packed = pa.array(coded, pa.large_binary()).take(pa.array(use))
+        _, stops, data = packed.buffers()
+        stops = np.frombuffer(stops, np.int64, len(packed) + 1, packed.offset * 8)[2 * ends + np.arange(len(ends))]
+        raw = data.to_pybytes()
+        return [raw[x:y] for x, y in pairwise(stops.tolist())]
 
 
 def coder(path: str, end: int = END) -> Coder:
@@ -263,8 +297,8 @@ def _pack(path: str, end: int, limit: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_path = coder(path, end)
         ids, keys, size = [], [], 0
-        for batch in T.slices(batches, "text"):
-            new = with_path.encode(batch.column("text").to_pylist())
+        for batch in T.slices(batches, "text", BATCH_BYTES):
+            new = with_path.encode(batch.column("text"))
             for key, doc in zip(batch.column("doc_id").to_pylist(), new):
                 if size and size + len(doc) > limit:
                     yield pa.RecordBatch.from_arrays([pa.array([seal(ids, keys, with_path.width)], pa.binary())], ["s"])

@@ -154,6 +154,15 @@ def test_pieces_beyond_the_kept_ones(monkeypatch):
     assert len(own.inner) <= 3
 
 
+def test_a_word_is_kept_once_whatever_marks_follow_it():
+    own = tokenfile.Coder(TOKENIZER)
+    texts = ["so once, word word, word! (twice", "so two.\nlines two.\nlines (twice word."]
+    for _ in range(2):
+        assert [unpack(x) for x in own.encode(texts)] == [plain_ids(t) for t in texts]
+    assert {"word", "two.\nlines", "(twice"} == own.inner.keys()
+    assert own.encode([]) == [] and [unpack(x) for x in own.encode([None, ""])] == [[2], [2]]
+
+
 def test_every_latin_letter_and_mark():
     letters = [chr(c) for c in range(33, 0x250)]
     text = " ".join(a + b + c for a, b, c in zip(letters, letters[7:] + letters[:7], letters[90:] + letters[:90]))
