@@ -87,6 +87,28 @@ def test_lines_keep_columns_and_use_bitmaps(spark, documents, line_rows):
     assert "text" not in maps.columns and maps.agg(F.max(F.length("keep"))).first()[0] < 40
 
 
+def test_line_workers_hold_a_slice_not_a_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from loadbay.llm import tokens
+
+    rng = random.Random(8)
+    texts = ["\n".join(sentence(rng, 10) for _ in range(40)) for _ in range(200)] * 20
+    n, size = len(texts), sum(len(t.encode()) for t in texts)
+    assert size > 5 * (tokens.SLICE_BYTES >> 1)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n)), pa.array(texts), pa.array(range(n)), pa.nulls(n, pa.binary())], ["doc_id", "text", "th", "k"])
+    for work, most in ((line_dedup._keys(line_dedup.MIN_CHARS), 64), (line_dedup._rewrite, 4)):
+        tokens._powers.clear()
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in work(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows >= n and peak < most << 20, peak
+
+
 def test_lines_empty_table(documents):
     assert line_dedup.line_dedup(documents([]).where("false")).count() == 0
 
