@@ -1,9 +1,12 @@
 import csv
 import datetime as dt
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from loadbay import schemas as S
+from loadbay import session
 from loadbay.plans import anonymise, dashboard, explore, prepare
 from loadbay.sources import prepared, raw
 
@@ -298,3 +301,29 @@ def test_prepared_csv_is_compressed_and_exports_are_plain(spark, tmp_path):
     assert {f.name[-4:] for f in (tmp_path / "export").glob("part-*")} == {".csv"}
     back = prepared.load_products(spark, f"{tmp_path}/stage", "csv").select("worker", "process")
     assert [tuple(r) for r in back.collect()] == [("Ann", "a\nb")]
+
+
+def test_staged_tables_leave_no_shuffle_files(spark, monkeypatch):
+    """Also in slices, which take no more of the join's other side than their own keys and lose no row."""
+    def shuffled():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = manager.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.length()) if "shuffle_" in files.apply(i).getName()}
+
+    rows = spark.range(0, 5000, 1, 4).selectExpr("IF(id % 9 = 0, NULL, id % 50) day", "id % 7 who", "id")
+    totals = rows.groupBy("day", "who").agg(F.count("*").alias("n"))
+    want = sorted(map(repr, rows.join(totals, ["day", "who"], "left").collect()))
+    for n in (session.SLICE_ROWS, 700):
+        monkeypatch.setattr(session, "SLICE_ROWS", n)
+        before = shuffled()
+        out = session.stage(spark, f"slices_{n}", lambda: rows.join(totals, ["day", "who"], "left"), by="day",
+                            rows=rows.count)
+        begun = time.time()
+        while shuffled() - before and time.time() - begun < 20:
+            time.sleep(.2)
+        assert not {f for f in shuffled() - before if f.endswith(".data")}
+        assert sorted(map(repr, out.collect())) == want
+        session.unstage(spark, f"slices_{n}")
+        again = session.stage(spark, f"slices_{n}", lambda: rows.limit(1))
+        assert again.count() == 1
+        session.unstage(spark, f"slices_{n}")
