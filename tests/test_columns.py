@@ -122,3 +122,15 @@ def test_copies_are_dropped_where_the_rows_lie(spark, tmp_path):
     assert df.exceptAll(out).select("k").distinct().count() == 3          # copies of a, (None, a or NaN), hot
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange hashpartitioning") == 1                    # that of the rows that have copies
+
+
+def test_rows_without_a_copy_stay_however_many_hashes_repeat(spark, settings, monkeypatch):
+    """The table of repeated hashes is broadcast as it is bounded, whatever Spark's limit; all bits set, still right."""
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    df = spark.range(0, 3000, 1, 5).selectExpr("CAST(id % 2900 AS STRING) k", "IF(id % 7 = 0, NULL, id % 2900) v")
+    for words in (clean.MARK_WORDS, 1):
+        monkeypatch.setattr(clean, "MARK_WORDS", words)
+        out = clean.drop_duplicate_rows(df)
+        assert out.exceptAll(df.distinct()).count() == 0 and df.distinct().exceptAll(out).count() == 0
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
