@@ -285,6 +285,25 @@ def test_every_occurrence_of_a_passage_is_reported(spark, documents, settings):
     assert got[3].passages is None and (got[3].class_id, got[3].n_links, got[3].n_passages) == (3, 0, 0)
 
 
+@pytest.mark.parametrize("stars", [0, 1, 3])
+def test_later_holders_of_a_seed_are_compared_too(documents, monkeypatch, stars):
+    """Every seed of the passage is first held by a piece too short to share it with."""
+    monkeypatch.setattr(passages, "STARS", stars, raising=False)
+    rng = random.Random(21)
+    whole = sentence(rng, 120).split(" ")
+    pieces = [whole[i:i + 46] for i in range(0, 75, 5)]
+    rows = [(i, " ".join([sentence(rng, 40), *p, sentence(rng, 40)])) for i, p in enumerate(pieces, 1)]
+    other = [*whole[:60], "changed", *whole[61:]]
+    rows += [(50 + i, " ".join([sentence(rng, 30), *w, sentence(rng, 30)])) for i, w in enumerate((whole, whole, other))]
+    rows += [(90, sentence(rng, 300)), (91, None), (None, rows[-1][1])]
+    got = {r.doc_id: r for r in passages.passage_classes(documents(rows + rows[:2])).collect()}
+    assert got[51].class_id == got[52].class_id == got[50].class_id
+    for doc in (51, 52):
+        long = [p for p in got[doc].passages if p.src >= 50 and p.end - p.begin >= 115]
+        assert long and all(abs(p.begin - 30) <= 3 for p in long)
+    assert got[51].n_links >= 1 and got[90].class_id == 90 and got[90].passages is None
+
+
 def test_stretches_are_those_of_brute_force():
     import numpy as np
     rng = np.random.default_rng(4)
