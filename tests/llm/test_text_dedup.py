@@ -291,7 +291,7 @@ def test_later_holders_of_a_seed_are_compared_too(documents, monkeypatch, stars)
     monkeypatch.setattr(passages, "STARS", stars, raising=False)
     rng = random.Random(21)
     whole = sentence(rng, 120).split(" ")
-    pieces = [whole[i:i + 46] for i in range(0, 75, 5)]
+    pieces = [whole[i:i + 32] for i in range(0, 90, 4)]
     rows = [(i, " ".join([sentence(rng, 40), *p, sentence(rng, 40)])) for i, p in enumerate(pieces, 1)]
     other = [*whole[:60], "changed", *whole[61:]]
     rows += [(50 + i, " ".join([sentence(rng, 30), *w, sentence(rng, 30)])) for i, w in enumerate((whole, whole, other))]
